@@ -90,12 +90,18 @@ def change_messages(events: DataFrame) -> DataFrame:
     return k.select("event_id", F.when(broken, F.lit('{"before": nul')).otherwise(text).alias("value"))
 
 
-def service_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def service_records(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
     """Order lines as service records: doc_id (order date), pos, raw.
 
     A line is one visit with up to two services and up to two parts. Arrays are
-    built row by row, so no group is ever collected.
+    built row by row, so no group is ever collected. ``faults`` adds records that
+    break further rules.
     """
+
+    def faulty(condition: F.Column, bad: F.Column, good: F.Column) -> F.Column:
+        return F.when(condition, bad).otherwise(good.cast("string")) if faults else good
+
+    null = F.lit(None).cast("string")
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer")
@@ -132,7 +138,7 @@ def service_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(
                 F.concat(F.lit("P-"), F.col("l_partkey")).alias("part_code"),
                 F.concat(F.lit("PART-"), F.col("l_partkey")).alias("part_name"),
-                F.col("l_quantity").cast("int").alias("quantity"),
+                (F.col("l_quantity").cast("int") - (1 if faults else 0)).alias("quantity"),
                 F.col("l_extendedprice").alias("unit_cost"),
             ),
             F.when(
@@ -149,7 +155,7 @@ def service_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = F.struct(
         F.concat_ws("-", F.lit("SRV"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("service_record_id"),
         F.struct(
-            F.concat(F.lit("DLR-"), F.col("c_nationkey")).alias("dealer_id"),
+            faulty(F.col("c_nationkey") == 7, null, F.concat(F.lit("DLR-"), F.col("c_nationkey"))).alias("dealer_id"),
             F.col("n_name").alias("dealer_name"),
             F.concat(F.lit("REGION-"), F.col("n_regionkey")).alias("dealer_location"),
         ).alias("dealer"),
@@ -157,12 +163,16 @@ def service_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("VIN-"), F.col("o_custkey")).alias("vin"),
             F.col("c_mktsegment").alias("model"),
             (F.col("o_custkey") % 30 + 1995).cast("int").alias("year"),
-            F.floor("o_totalprice").cast("int").alias("odometer_reading"),
+            faulty(F.col("o_orderpriority") == "1-URGENT", null, F.floor("o_totalprice").cast("int")).alias(
+                "odometer_reading"
+            ),
         ).alias("vehicle"),
         F.struct(
             F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("service_date"),
             F.col("o_orderpriority").alias("service_advisor_name"),
-            F.col("c_acctbal").alias("total_cost"),
+            faulty(F.col("c_mktsegment") == "MACHINERY", F.lit("n/a"), F.col("c_acctbal")).alias(
+                "total_cost"
+            ),
             services.alias("services_performed"),
             parts.alias("parts_used"),
         ).alias("service_details"),
@@ -179,10 +189,19 @@ def service_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def record_position() -> F.Column:
-    """Place of a record in its document, a number that grows with (order, line, part, supplier)."""
-    return F.struct(
-        F.col("l_orderkey"), F.col("l_linenumber").cast("bigint"), F.col("l_partkey"), F.col("l_suppkey")
+    """Place of a record in its document: by order, line, part, supplier, then the rest of the line."""
+    columns = (
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        "l_shipdate",
+        "l_extendedprice",
+        "l_quantity",
+        "l_discount",
+        "l_tax",
     )
+    return F.struct(*columns)
 
 
 def labelled_history(events: DataFrame, family: Family) -> DataFrame:
