@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +18,7 @@ def decode(messages: DataFrame, schema: T.StructType, value: str = "value") -> D
     return messages.withColumn("message", F.from_json(value, typed, options))
 
 
-def is_malformed() -> F.Column:
+def is_malformed() -> Column:
     return F.col("message").isNull() | F.col(f"message.{CORRUPT}").isNotNull()
 
 

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import FAMILIES, Family
 from . import explore_queries as explore
+from . import model_queries as model
 from . import sensor_queries as sensor
 from . import service_queries as service
+from . import stream_queries as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,6 +69,15 @@ SINGLE: dict[str, Query] = {
     "q_best_model": explore.best_model,
     "q_split": explore.split,
     "q_split_shares": explore.split_shares,
+    "ml_train": model.train,
+    "ml_tune": model.tuned,
+    "ml_score": model.score,
+    "st_score": stream.score,
+    "st_sensor_to_lake": stream.sensor_to_lake,
+    "st_cdc_log": stream.cdc_log,
+    "st_risk_counts": stream.risk_counts,
+    "st_prev_state": stream.prev_state,
+    "st_star": stream.star_rows,
 }
 
 

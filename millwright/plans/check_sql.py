@@ -500,4 +500,28 @@ def check_sql() -> dict[str, str]:
         f"select case when event_type = 'error' then 1 else 0 end as failure, "
         f"case when {_draw(42, 10000)} < 7500 then 'train' else 'test' end as side, count(*) as rows from events group by 1, 2"
     )
+    out["st_score"] = out["q_union_predictions"]
+    out["st_sensor_to_lake"] = out["q_sensor_flatten_arm_robot"]
+    out["st_cdc_log"] = f"select *, substr(created_at, 1, 10) as date from ({out['q_cdc_classify']})"
+    out["st_risk_counts"] = (
+        "select substr(prediction_timestamp, 1, 10) as date, machine_type, machine_id, risk_level, count(*) as risk_count "
+        f"from ({out['q_risk_class_arm_robot']}) where risk_level is not null group by 1, 2, 3, 4"
+    )
+    out["st_prev_state"] = out["q_serving_prev_arm_robot"]
+    tables = {
+        "fact_service_records": "q_star_fact",
+        "dim_dealer": "q_star_dealer",
+        "dim_vehicle": "q_star_vehicle",
+        "dim_customer": "q_star_customer",
+        "dim_services_performed": "q_star_services",
+        "dim_parts_used": "q_star_parts",
+    }
+    counted = [
+        f"select '{table}' as \"table\", doc_id, count(*) as rows from ({out[query]}) group by doc_id"
+        for table, query in tables.items()
+    ]
+    counted.append(
+        f"select 'error' as \"table\", doc_id, records as rows from ({out['q_accept_reject']}) where rule is not null"
+    )
+    out["st_star"] = " union all ".join(counted)
     return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import timefn
@@ -99,7 +99,7 @@ def serving_prev(spark: SparkSession, sf_dir: str, family: Family) -> DataFrame:
     return features.serving_history(rows, family, history_width(spark, sf_dir), "event_id")
 
 
-def fixed_score(family: Family) -> F.Column:
+def fixed_score(family: Family) -> Column:
     weights, intercept = SCORERS[family.name]
     return logistic(weights, intercept)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -74,6 +74,6 @@ def explode_documents(texts: DataFrame) -> DataFrame:
     ).withColumn("pos", F.col("pos").cast("long"))
 
 
-def doc_date(doc_id: F.Column) -> F.Column:
+def doc_date(doc_id: Column) -> Column:
     """Ingest date from a ``date=yyyy-MM-dd`` path element."""
     return F.nullif(F.regexp_extract(doc_id, r"date=(\d{4}-\d{2}-\d{2})", 1), F.lit(""))

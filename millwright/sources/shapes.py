@@ -5,7 +5,7 @@ Expressions are SQL text that Spark and the reference database read alike.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timefn import iso_text
@@ -48,17 +48,29 @@ def reading_sql(family: Family) -> dict[str, str]:
     return out
 
 
+def _envelope(family: Family) -> Column:
+    readings = F.struct(*[F.expr(sql).alias(name) for name, sql in reading_sql(family).items()])
+    return F.to_json(
+        F.struct(
+            iso_text(F.col("ts")).alias("timestamp"),
+            F.concat(F.lit("M-"), F.col("user_id")).alias("machine_id"),
+            F.lit(family.machine_type).alias("machine_type"),
+            readings.alias("readings"),
+        )
+    )
+
+
 def sensor_messages(events: DataFrame, family: Family) -> DataFrame:
     """Events as JSON messages of one family: event_id, event_type, value."""
-    k = events.withColumn("k", F.expr(K))
-    readings = F.struct(*[F.expr(sql).alias(name) for name, sql in reading_sql(family).items()])
-    envelope = F.struct(
-        iso_text(F.col("ts")).alias("timestamp"),
-        F.concat(F.lit("M-"), F.col("user_id")).alias("machine_id"),
-        F.lit(family.machine_type).alias("machine_type"),
-        readings.alias("readings"),
+    return events.withColumn("k", F.expr(K)).select("event_id", "event_type", _envelope(family).alias("value"))
+
+
+def topic_messages(events: DataFrame) -> DataFrame:
+    """Events as one mixed message stream, each in the shape of its topic's family, in one pass."""
+    value = F.coalesce(
+        *[F.when(F.col("event_type").isin(*ROUTES[f.name]), _envelope(f)) for f in FAMILIES.values()]
     )
-    return k.select("event_id", "event_type", F.to_json(envelope).alias("value"))
+    return events.withColumn("k", F.expr(K)).select("event_id", "event_type", value.alias("value"))
 
 
 def routed(messages: DataFrame, family: Family) -> DataFrame:
@@ -66,10 +78,6 @@ def routed(messages: DataFrame, family: Family) -> DataFrame:
     return messages.where(F.col("event_type").isin(*ROUTES[family.name]))
 
 
-def family_of_event() -> dict[str, Family]:
-    return {event: FAMILIES[name] for name, events in ROUTES.items() for event in events}
-
-
 def change_messages(events: DataFrame) -> DataFrame:
     """Events as change envelopes: event_id, value. Some are tombstones, some malformed."""
     k = events.withColumn("k", F.expr(K))
@@ -98,7 +106,7 @@ def service_records(spark: SparkSession, sf_dir: str, faults: bool = False) -> D
     break further rules.
     """
 
-    def faulty(condition: F.Column, bad: F.Column, good: F.Column) -> F.Column:
+    def faulty(condition: Column, bad: Column, good: Column) -> Column:
         return F.when(condition, bad).otherwise(good.cast("string")) if faults else good
 
     null = F.lit(None).cast("string")
@@ -188,7 +196,7 @@ def service_records(spark: SparkSession, sf_dir: str, faults: bool = False) -> D
     )
 
 
-def record_position() -> F.Column:
+def record_position() -> Column:
     """Place of a record in its document: by order, line, part, supplier, then the rest of the line."""
     columns = (
         "l_orderkey",

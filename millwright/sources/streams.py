@@ -30,7 +30,9 @@ def message_stream(
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A Parquet table, one file or a folder of part files, as a stream."""
-    path = f"{sf_dir}/{name}.parquet"
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(path)
+    """A Parquet table, one file or a folder of part files, as a stream.
+
+    A plain path must be a folder for the file stream; as a pattern it may be either.
+    """
+    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
