@@ -42,5 +42,5 @@ def local_wall_clock(ts_utc: Column) -> Column:
 
 
 def text_date(text: Column) -> Column:
-    """Date part of an ISO text."""
-    return F.to_date(F.substring(text, 1, 10), DAY_DASHED)
+    """Date part of an ISO text, null when it is none."""
+    return F.try_to_date(F.substring(text, 1, 10), DAY_DASHED)

@@ -225,11 +225,16 @@ def load(spark: SparkSession, path: str) -> tuple[PipelineModel, list[str]]:
     return PipelineModel.load(f"{path}/model"), [r["feature"].strip() for r in names]
 
 
-def failure_probability() -> Column:
-    return vector_to_array("probability")[1]
+def failure_probability(model: PipelineModel) -> Column:
+    """Probability of failure; null where a feature is unknown."""
+    known = F.lit(True)
+    for name in model.stages[0].getInputCols():
+        known = known & F.col(name).isNotNull()
+    return F.when(known, vector_to_array("probability")[1])
 
 
 def score(model: PipelineModel, rows: DataFrame, at: Column, *keep: str) -> DataFrame:
-    """Risk rows plus the model's own yes/no decision."""
-    scored = model.transform(rows).withColumn("failure_predicted", F.col("prediction").cast("int"))
-    return risk_rows(scored, failure_probability(), at, *keep, "failure_predicted")
+    """Risk rows plus the model's own yes/no decision; incomplete rows have no risk."""
+    p = failure_probability(model)
+    scored = model.transform(rows).withColumn("failure_predicted", F.when(p.isNotNull(), F.col("prediction").cast("int")))
+    return risk_rows(scored, p, at, *keep, "failure_predicted")

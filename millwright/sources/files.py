@@ -60,8 +60,8 @@ def documents(spark: SparkSession, root: str, day: date | None = None) -> DataFr
     gives a single row with its whole text, which no later step can read.
     """
     path = f"{root.rstrip('/')}/" + (f"date={day:%Y-%m-%d}/" if day else "")
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
-    texts = reader.text(path).select(F.col("_metadata.file_path").alias("doc_id"), "value")
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    texts = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("doc_id"), "value")
     return explode_documents(texts)
 
 
