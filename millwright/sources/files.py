@@ -56,8 +56,8 @@ def sensor_history(spark: SparkSession, path: str, family: Family) -> DataFrame:
 def documents(spark: SparkSession, root: str, day: date | None = None) -> DataFrame:
     """Record texts of JSON-array documents: doc_id (file path), pos, raw.
 
-    A document is one posted batch and one file. A document that is no JSON array
-    gives a single row with its whole text, which no later step can read.
+    A document is one posted batch and one file. A document that is no JSON array,
+    or an empty one, gives a single row with its whole text, so it still gets a verdict.
     """
     path = f"{root.rstrip('/')}/" + (f"date={day:%Y-%m-%d}/" if day else "")
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
@@ -68,9 +68,11 @@ def documents(spark: SparkSession, root: str, day: date | None = None) -> DataFr
 def explode_documents(texts: DataFrame) -> DataFrame:
     """(doc_id, value) documents to one row per record."""
     elements = F.from_json("value", "array<string>")
+    whole = F.array("value")
+    elements = F.when(F.size(elements) > 0, elements).otherwise(whole)
     rest = [c for c in texts.columns if c != "value"]
     return texts.select(
-        *rest, F.posexplode(F.coalesce(elements, F.array("value"))).alias("pos", "raw")
+        *rest, F.posexplode(elements).alias("pos", "raw")
     ).withColumn("pos", F.col("pos").cast("long"))
 
 
