@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,14 +31,6 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def correlation(a: str, b: str) -> Column:
-    """Pearson correlation over rows where both are known; null for a constant column."""
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    x = F.when(both, F.col(a).cast("double"))
-    y = F.when(both, F.col(b).cast("double"))
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-
-
 def _long(one_row: DataFrame, names: Sequence[tuple[str, ...]], labels: Sequence[str], value: str) -> DataFrame:
     """Turn the aggregates ``c0, c1, …`` of a single row into labelled rows."""
     entries = [
@@ -47,16 +40,63 @@ def _long(one_row: DataFrame, names: Sequence[tuple[str, ...]], labels: Sequence
     return one_row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
+_PAIR_SUMS = "i int, j int, n double, x double, y double, xx double, yy double, xy double"
+
+
+def _gram(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairwise sums over rows where both columns are known, as matrix products per batch."""
+    total = None
+    for batch in batches:
+        values = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+        known = ~np.isnan(values)
+        mask = known.astype(float)
+        filled = np.where(known, values, 0.0)
+        squares = filled * filled
+        part = np.stack(
+            [mask.T @ mask, filled.T @ mask, mask.T @ filled, squares.T @ mask, mask.T @ squares, filled.T @ filled]
+        )
+        total = part if total is None else total + part
+    if total is None:
+        return
+    i, j = np.triu_indices(total.shape[1], 1)
+    columns = [i.astype("int32"), j.astype("int32"), *[t[i, j] for t in total]]
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[f.split()[0] for f in _PAIR_SUMS.split(", ")])
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """All pairs of ``columns`` (each once) from one pass over the data."""
-    pairs = list(combinations(columns, 2))
-    one = df.agg(*[correlation(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    return _long(one, pairs, ("left", "right"), "correlation")
+    """Pearson correlation of all pairs of ``columns`` (each once), in one pass.
+
+    A pair uses the rows where both values are known; a constant column gives null.
+    Built-in ``corr`` per pair runs outside generated code once there are dozens of
+    pairs, so each task sums all pairs with a few matrix products on Arrow batches
+    and sends one row per pair. Values are shifted by the column mean first, which
+    keeps the sums well conditioned.
+    """
+    means = df.agg(F.struct(*[F.avg(F.col(c).cast("double")).alias(c) for c in columns]).alias("m")).scalar()
+    shifted = df.select(*[F.col(c).cast("double").alias(c) for c in columns], means.alias("_m")).select(
+        *[(F.col(c) - F.col(f"_m.{c}")).alias(c) for c in columns]
+    )
+    sums = shifted.mapInArrow(_gram, _PAIR_SUMS).groupBy("i", "j").agg(
+        *[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")]
+    )
+
+    def spread(square: str, plain: str) -> Column:
+        rest = F.col(square) - F.try_divide(F.col(plain) * F.col(plain), F.col("n"))
+        # What is left of a constant column is rounding only.
+        return F.when(rest > F.col(square) * F.lit(1e-12), rest)
+
+    shared = F.col("xy") - F.try_divide(F.col("x") * F.col("y"), F.col("n"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return sums.select(
+        names[F.col("i")].alias("left"),
+        names[F.col("j")].alias("right"),
+        (shared / F.sqrt(spread("xx", "x") * spread("yy", "y"))).alias("correlation"),
+    )
 
 
 def correlation_with(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
-    one = df.agg(*[correlation(c, label).alias(f"c{i}") for i, c in enumerate(columns)])
-    return _long(one, [(c,) for c in columns], ("feature",), "correlation")
+    pairs = correlation_matrix(df, [*columns, label]).where(F.col("right") == label)
+    return pairs.select(F.col("left").alias("feature"), "correlation")
 
 
 def top_features(importances: DataFrame, n: int) -> DataFrame:

@@ -41,9 +41,11 @@ def item_rows(records: DataFrame, *keep: str) -> DataFrame:
     return floats_to_decimals(records.select(*keep, item.alias("item")))
 
 
-def last_item_per_key(items: DataFrame, key: str, *order: str) -> DataFrame:
-    """A later put replaces an earlier one of the same key, so only the last is sent."""
-    picked = items.groupBy(F.col(f"item.{key}").alias(key)).agg(
-        F.max_by("item", F.struct(*order)).alias("item")
-    )
-    return picked.select(key, "item")
+def last_record_per_key(records: DataFrame, key: str, *order: str) -> DataFrame:
+    """A later put replaces an earlier one of the same key, so only the last text is kept.
+
+    Runs on raw texts, before the costly parse; readable texts only.
+    """
+    keyed = records.withColumn("_key", F.get_json_object("raw", f"$.{key}")).where(F.col("_key").isNotNull())
+    picked = keyed.groupBy("_key").agg(F.max_by("raw", F.struct(*order)).alias("raw"))
+    return picked.select(F.col("_key").alias(key), "raw")

@@ -50,7 +50,11 @@ def with_previous(
     rows = df.withColumn("_at", at).withColumn("_seed", F.lit(False))
     if seeds is not None:
         rows = rows.unionByName(seeds.withColumn("_seed", F.lit(True)), allowMissingColumns=True)
-    rows = rows.withColumn("_slice", F.floor(F.unix_micros("_at") / F.lit(width)))
+    # Rows without a machine need no look back; a hash keeps them from gathering in one slice.
+    rows = rows.withColumn(
+        "_slice",
+        F.when(F.col(key).isNull(), F.xxhash64("_at", *tie)).otherwise(F.floor(F.unix_micros("_at") / F.lit(width))),
+    )
 
     order = ["_at", *tie]
     carried = [*order, *columns]
@@ -63,10 +67,8 @@ def with_previous(
         .select(key, "_slice", *[F.col(f"_last.{c}").alias(c) for c in carried], F.lit(True).alias("_seed"))
     )
     window = Window.partitionBy(key, "_slice").orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    # A machine-less row stays on its own: spread by its order, it never waits in one window.
-    named = rows.where(F.col(key).isNotNull()).unionByName(handed, allowMissingColumns=True)
-    looked_back = named.withColumn("previous", F.lag(F.struct(*columns)).over(window)).where(~F.col("_seed"))
-    nameless = rows.where(F.col(key).isNull() & ~F.col("_seed")).withColumn(
-        "previous", F.lit(None).cast(looked_back.schema["previous"].dataType)
+    before = F.lag(F.struct(*columns)).over(window)
+    looked_back = rows.unionByName(handed, allowMissingColumns=True).withColumn(
+        "previous", F.when(F.col(key).isNotNull(), before)
     )
-    return looked_back.unionByName(nameless).drop("_at", "_seed", "_slice")
+    return looked_back.where(~F.col("_seed")).drop("_at", "_seed", "_slice")

@@ -74,8 +74,8 @@ def posted_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kv_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = shapes.service_records(spark, sf_dir)
-    rows = items.item_rows(raw, "doc_id", "pos").where(F.col("item").isNotNull())
-    kept = items.last_item_per_key(rows, "service_record_id", "doc_id", "pos")
+    last = items.last_record_per_key(raw, "service_record_id", "doc_id", "pos")
+    kept = items.item_rows(last, "service_record_id")
     details = F.col("item.service_details")
     return kept.select(
         "service_record_id",

@@ -65,6 +65,18 @@ def documents(spark: SparkSession, root: str, day: date | None = None) -> DataFr
     return explode_documents(texts)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Share the rows of a small input among all cores before costly row work.
+
+    An input with at least as many splits as there are cores is left alone, so
+    nothing is shuffled at scale. The keys should tell rows apart.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def explode_documents(texts: DataFrame) -> DataFrame:
     """(doc_id, value) documents to one row per record."""
     elements = F.from_json("value", "array<string>")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timefn import iso_text
 from ..schemas import FAMILIES, Family
+from .files import spread
 
 K = "cast(get_json_object(props, '$.k') as int)"
 
@@ -62,7 +63,8 @@ def _envelope(family: Family) -> Column:
 
 def sensor_messages(events: DataFrame, family: Family) -> DataFrame:
     """Events as JSON messages of one family: event_id, event_type, value."""
-    return events.withColumn("k", F.expr(K)).select("event_id", "event_type", _envelope(family).alias("value"))
+    rows = spread(events, "event_id").withColumn("k", F.expr(K))
+    return rows.select("event_id", "event_type", _envelope(family).alias("value"))
 
 
 def topic_messages(events: DataFrame) -> DataFrame:
@@ -80,7 +82,7 @@ def routed(messages: DataFrame, family: Family) -> DataFrame:
 
 def change_messages(events: DataFrame) -> DataFrame:
     """Events as change envelopes: event_id, value. Some are tombstones, some malformed."""
-    k = events.withColumn("k", F.expr(K))
+    k = spread(events, "event_id").withColumn("k", F.expr(K))
     row = F.struct(
         F.col("user_id").cast("int").alias("id"),
         F.col("event_type").alias("name"),
@@ -110,7 +112,7 @@ def service_records(spark: SparkSession, sf_dir: str, faults: bool = False) -> D
         return F.when(condition, bad).otherwise(good.cast("string")) if faults else good
 
     null = F.lit(None).cast("string")
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer")
     nations = table(spark, sf_dir, "nation")

@@ -132,6 +132,7 @@ def record_stream(records: DataFrame, out: str, checkpoint: str) -> None:
         parsed = quality.parse_records(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             verdicts = quality.judge_documents(parsed).persist(StorageLevel.MEMORY_AND_DISK)
+            verdicts.count()  # a measured size lets Spark broadcast a small verdict table
             good = quality.accept(parsed, verdicts)
             for name, table in star.star_tables(good).items():
                 write_batch(table, f"{out}/{name}", batch_id)

@@ -182,8 +182,8 @@ def test_items_hold_exact_decimals_and_the_last_put_wins(spark):
     raw = spark.createDataFrame(
         [("d0", 0, json.dumps(GOOD)), ("d1", 0, json.dumps(changed("service_details.total_cost", 0.1)))], "doc_id string, pos long, raw string"
     )
-    rows = items.item_rows(raw, "doc_id", "pos")
-    kept = items.last_item_per_key(rows, "service_record_id", "doc_id", "pos").first()["item"]
+    last = items.last_record_per_key(raw, "service_record_id", "doc_id", "pos")
+    kept = items.item_rows(last, "service_record_id").first()["item"]
     assert kept["service_details"]["total_cost"] == Decimal("0.1")
     assert kept["service_details"]["parts_used"][1]["unit_cost"] == Decimal("80.1")
     assert kept["vehicle"]["odometer_reading"] == 51000
