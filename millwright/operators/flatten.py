@@ -12,10 +12,14 @@ CORRUPT = "_corrupt_record"
 
 
 def decode(messages: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """Parse ``value`` into the struct ``message``; a malformed text fills its corrupt field."""
+    """Parse ``value`` into the struct ``message``; a malformed text fills its corrupt field.
+
+    The parse sits in a generator of one element. A filter on the parsed fields
+    cannot be pushed below it, which would parse every text a second time.
+    """
     typed = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return messages.withColumn("message", F.from_json(value, typed, options))
+    return messages.select("*", F.explode(F.array(F.from_json(value, typed, options))).alias("message"))
 
 
 def is_malformed() -> Column:

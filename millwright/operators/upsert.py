@@ -2,8 +2,8 @@
 
 Update and insert run as two joins instead of one full outer join: the update is
 a left join that Spark may broadcast or split on skew, and the insert is an anti
-join on keys only. Adaptive execution decides on measured sizes, so a daily
-source beside a large target never shuffles the target.
+join on keys only. The source is written first, so its size is known when the
+joins are planned: a daily source beside a large target never shuffles the target.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def duplicate_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once; counting combines before the shuffle."""
@@ -69,10 +71,12 @@ def upsert(
 ) -> DataFrame:
     """Target with matching rows updated and unmatched source rows appended.
 
-    Only ``updated`` columns change on a match. Null keys match nothing.
+    Only ``updated`` columns change on a match. Null keys match nothing. The
+    checked source is written once, so Spark plans the joins on its true size.
     """
-    clean = resolve_duplicates(source, keys, duplicates, order)
-    incoming = clean.select(
+    clean = written(resolve_duplicates(source, keys, duplicates, order), "upsert-source")
+    keyed, loose = _split_keyed(clean, keys)
+    incoming = keyed.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
         F.struct(*updated).alias("_new"),
     )
@@ -88,9 +92,9 @@ def upsert(
         ]
     )
     # Few target keys survive this semi join; the anti join then never sees the whole target.
-    known = target.select(*keys).join(clean.select(*keys), list(keys), "left_semi")
-    added = clean.join(known, list(keys), "left_anti").select(*target.columns)
-    return replaced.unionByName(added)
+    known = target.select(*keys).join(keyed.select(*keys), list(keys), "left_semi")
+    added = keyed.join(known, list(keys), "left_anti").unionByName(loose)
+    return replaced.unionByName(added.select(*target.columns))
 
 
 def merge_into_catalog(

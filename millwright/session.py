@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "millwright", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -38,3 +38,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared scratch folder.
+
+    It is computed once however often it is used, survives lost executors, and has a
+    measured size when Spark chooses between broadcast and shuffle.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

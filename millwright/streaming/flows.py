@@ -131,14 +131,12 @@ def record_stream(records: DataFrame, out: str, checkpoint: str) -> None:
     def work(batch: DataFrame, batch_id: int) -> None:
         parsed = quality.parse_records(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            verdicts = quality.judge_documents(parsed).persist(StorageLevel.MEMORY_AND_DISK)
-            verdicts.count()  # a measured size lets Spark broadcast a small verdict table
+            verdicts = quality.settle(quality.judge_documents(parsed))
             good = quality.accept(parsed, verdicts)
             for name, table in star.star_tables(good).items():
                 write_batch(table, f"{out}/{name}", batch_id)
             write_batch(good.select("doc_id", "pos", "raw"), f"{out}/items", batch_id)
             write_batch(quality.reject(parsed, verdicts).select("doc_id", "pos", "raw", "rule"), f"{out}/error", batch_id)
-            verdicts.unpersist()
         finally:
             parsed.unpersist()
 

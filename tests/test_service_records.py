@@ -108,6 +108,11 @@ CASES = [
     ("service_details.services_performed.1.service_name", None, False, "dim_services_performed.service_name: not_null"),
     ("service_details.parts_used", None, True, "dim_parts_used.parts_used: missing_key"),
     ("service_details.parts_used.0.quantity", 0, False, "dim_parts_used.quantity: at_least_1"),
+    ("service_details.parts_used.0.quantity", "two", False, "dim_parts_used.quantity: int"),
+    ("service_details.parts_used.0.quantity", "3", False, None),
+    ("service_details.parts_used.0.quantity", 3.0, False, None),
+    ("service_details.total_cost", "12.5", False, None),
+    ("service_details.total_cost", "dear", False, "fact_service_records.total_cost: double"),
     ("service_details.parts_used.1.unit_cost", -0.01, False, "dim_parts_used.unit_cost: at_least_0"),
 ]
 
@@ -118,6 +123,13 @@ def test_rules(spark):
     assert [by_doc[f"d{i}"] for i in range(len(CASES))] == [c[3] for c in CASES]
 
 
+def test_values_written_as_text_are_repaired(spark):
+    odd = changed("service_details.parts_used.1.quantity", "4", base=changed("vehicle.odometer_reading", "12.0"))
+    rows = parsed(spark, [odd])
+    assert star.dim_vehicle(rows).first()["odometer_reading"] == 12
+    assert [r["quantity"] for r in star.dim_parts_used(rows).collect()] == [1, 4]
+
+
 def test_first_table_in_order_gives_the_reason(spark):
     both = changed("dealer.dealer_id", None, base=changed("service_details.total_cost", -1))
     assert verdicts(spark, [both], [changed("service_details.total_cost", -1), changed("customer.customer_id", None)]) == [

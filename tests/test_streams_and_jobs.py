@@ -200,11 +200,21 @@ def test_documents_to_star_and_quarantine(spark, tmp_path):
     jobs.process_documents(raw_documents(spark, tmp_path), out)
     def count(name):
         return spark.read.parquet(f"{out}/{name}").count()
+
+    def texts(name):
+        return spark.read.json(f"{out}/{name}").count()
+
     assert count("parquet_for_analytics/fact_service_records") == 2
     assert count("parquet_for_analytics/dim_dealer") == 1
     assert count("parquet_for_analytics/dim_parts_used") == 4
-    assert count("json_for_dynamodb") == 2 and count("error") == 2
-    assert os.listdir(f"{out}/error") and any(d == "date=2025-11-21" for d in os.listdir(f"{out}/error"))
+    assert texts("json_for_dynamodb") == 2 and texts("error") == 2
+    items = jobs.item_records(spark, out, date(2025, 11, 21))
+    assert items.count() == 2 and jobs.item_records(spark, out, date(2025, 11, 22)).isEmpty()
+    store = tmp_path / "items"
+    store.mkdir()
+    assert jobs.load_items(items, folder_writer(str(store))) == {"succeeded": 1, "failed": 0}
+    assert sorted(os.listdir(store)) == ["R1", "R2"]
+    assert any(d == "date=2025-11-21" for d in os.listdir(f"{out}/error"))
 
 
 def folder_writer(folder):
