@@ -110,10 +110,6 @@ def melt(df: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str,
     )
 
 
-def _bounds(values: DataFrame, group: str, column: str, prefix: str = "") -> list[Column]:
-    return [F.min(column).alias(f"{prefix}lo"), F.max(column).alias(f"{prefix}hi")]
-
-
 def _bin(value: Column, lo: Column, hi: Column, bins: int) -> Column:
     """Bin number with shared edges; the upper edge belongs to the last bin."""
     step = (hi - lo) / F.lit(bins)

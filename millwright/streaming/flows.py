@@ -14,7 +14,8 @@ from ..operators.previous import slice_micros
 from ..schemas import FAMILIES, Family
 from .sinks import parquet_stream, run_to_end, write_batch
 
-Scorer = Callable[[DataFrame, Family], Column]
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _each_batch(df: DataFrame, checkpoint: str, work: Callable[[DataFrame, int], None]) -> None:
@@ -90,7 +91,14 @@ def count_stream(predictions: DataFrame, out: str, checkpoint: str) -> None:
     def work(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, out, batch_id)
 
-    run_to_end(counts.writeStream.outputMode("update").foreachBatch(work), checkpoint)
+    # Counts live on local disk with change logs in the checkpoint, not on the heap.
+    conf = predictions.sparkSession.conf
+    before = conf.get(STATE_STORE, None)
+    conf.set(STATE_STORE, ROCKSDB)
+    try:
+        run_to_end(counts.writeStream.outputMode("update").foreachBatch(work), checkpoint)
+    finally:
+        conf.unset(STATE_STORE) if before is None else conf.set(STATE_STORE, before)
 
 
 def current_counts(changed: DataFrame) -> DataFrame:

@@ -148,6 +148,16 @@ def test_empty_and_missing_days(spark, tmp_path):
         jobs.upsert_day(spark, str(tmp_path), str(tmp_path / "lake"), ARM_ROBOT, date(2025, 1, 9))
 
 
+def test_every_family_is_upserted_in_turn(spark, tmp_path):
+    for family in FAMILIES.values():
+        spark.createDataFrame([("2025-01-06T01:00:00", "A")], "timestamp string, machine_id string").write.parquet(
+            str(tmp_path / "staging" / family.lake_table / "20250106")
+        )
+    done = jobs.upsert_all_families(spark, str(tmp_path / "staging"), str(tmp_path / "lake"), date(2025, 1, 6))
+    assert done == {name: True for name in FAMILIES}
+    assert spark.read.parquet(str(tmp_path / "lake/cnc_machine_sensor")).count() == 1
+
+
 def test_run_day():
     assert files.run_day("20250106") == files.run_day("2025-01-06") == date(2025, 1, 6)
     assert files.run_day(" ") == files.run_day()
