@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millwright.llm import simhash
+from millwright.llm import bpe, simhash
 from millwright.llm.common import table
 
+VOCABULARY = "word_bpe_49k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -17,8 +19,20 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def vocabulary_path() -> str:
+    """Where the installed package of public tokenizers keeps the vocabulary of op10."""
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
 QUERIES: dict[str, Query] = {
     "op6_simhash": op6_simhash,
+    "op10_bpe": op10_bpe,
 }
 
 SQL: dict[str, str] = {}
