@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millwright.llm import bpe, simhash
+from millwright.llm import bpe, decontaminate, simhash
 from millwright.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -30,9 +31,56 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op6_simhash": op6_simhash,
+    "op9_winnowing": op9_winnowing,
     "op10_bpe": op10_bpe,
 }
 
-SQL: dict[str, str] = {}
+OP9_SQL = r"""
+with doc as (
+    select row_number() over () as rid, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents
+), item as (
+    select coalesce(cast(item_id as varchar), '') as item,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from benchmark
+), win as (
+    select distinct item, least(10, len(w)) as size, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') as win
+    from (select item, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) as i from item where len(w) > 0)
+), sizes as (select distinct size from win),
+starts as (
+    select rid, size, w, unnest(range(1, len(w) - size + 2)) as i
+    from doc, sizes where len(w) >= size
+), hit as (
+    select s.rid, s.size, s.i, win.item
+    from (select rid, size, i, array_to_string(w[i : i + size - 1], ' ') as win from starts) s join win using (size, win)
+), words as (
+    select rid, count(distinct p) as n_hit
+    from (select rid, unnest(range(i, i + size)) as p from (select distinct rid, i, size from hit)) group by rid
+), names as (
+    select rid, count(*) as n_items, string_agg(item, ',' order by item) as items
+    from (select distinct rid, item from hit) group by rid
+)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+       cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(items, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 as contaminated
+from doc left join words using (rid) left join names using (rid)
+"""
+
+SQL: dict[str, str] = {"op9_winnowing": OP9_SQL}
