@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.llm import bpe, decontaminate, simhash
+from millwright.llm import bpe, credentials, decontaminate, simhash
 from millwright.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -31,6 +31,17 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op3_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = credentials.scan(table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{credentials.BASE[k]}")
+    return found.select(
+        "doc_id",
+        *(count(k) for k in range(len(credentials.BASE))),
+        F.sha2(credentials.spelled(F.col("base")), 256).alias("base_sha256"),
+        credentials.spelled(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -44,6 +55,7 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_credentials": op3_credentials,
     "op6_simhash": op6_simhash,
     "op9_winnowing": op9_winnowing,
     "op10_bpe": op10_bpe,
@@ -83,4 +95,49 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as big
 from doc left join words using (rid) left join names using (rid)
 """
 
-SQL: dict[str, str] = {"op9_winnowing": OP9_SQL}
+OP3_SQL = r"""
+with doc as (select row_number() over () as rid, doc_id, coalesce(text, '') as t from documents),
+cut as (
+    {cuts}
+), each as (
+    select rid, k, g, h, unnest(range(1, len(h) + 1)) as i from cut
+), place as (
+    select rid, k, h[i] as m,
+           cast(list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(h[1:i - 1], lambda x: length(x))), 0) as bigint) as s
+    from each
+), span as (
+    select rid, k, s, s + length(m) as e from place
+    where case k when 0 then length(regexp_extract(m, '{assign}', 2)) >= 6
+                 when 1 then length(m) >= 20 when 2 then length(m) >= 24
+                 when 5 then length(m) <= 90 and regexp_matches(m, '[0-9]') and regexp_matches(m, '[a-z]') and regexp_matches(m, '[A-Z]')
+                 else true end
+), link as (
+    select distinct w.rid, w.k, w.s, w.e from span w join span o using (rid)
+    where ((w.k in (3, 4) and o.k in (0, 1, 2)) or (w.k = 5 and o.k in (1, 3, 4)))
+      and o.s <= w.e + 200 and o.e >= w.s - 200
+      and not (o.s >= w.s and o.e <= w.e) and not (o.s <= w.s and o.e >= w.e)
+), total as (select * from span where k < 3 union all select * from link),
+kind as (select unnest(['assign', 'access', 'hex', 'name', 'endpoint', 'bare']) as name, unnest(range(0, 6)) as k),
+sums as (
+    select rid, count(*) filter (k = 0) as n_assign, count(*) filter (k = 1) as n_access, count(*) filter (k = 2) as n_hex,
+           string_agg(name || ':' || s || ':' || e, ',' order by s, k) filter (k < 3) as base,
+           string_agg(name || ':' || s || ':' || e, ',' order by s, k) as spans
+    from total join kind using (k) group by rid
+)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from doc left join sums using (rid)
+"""
+
+
+def _op3_sql() -> str:
+    quoted = {k: p.replace("'", "''") for k, p in (credentials.PATTERNS | {"access": credentials.ACCESS, "hex": credentials.HEX}).items()}
+    cuts = "\n    union all\n    ".join(
+        f"select rid, {i} as k, string_split_regex(t, '{quoted[k]}') as g, regexp_extract_all(t, '{quoted[k]}') as h "
+        f"from doc where regexp_matches(t, '{quoted[k]}')"
+        for i, k in enumerate(credentials.KINDS)
+    )
+    return OP3_SQL.replace("{cuts}", cuts).replace("{assign}", quoted["assign"])
+
+
+SQL: dict[str, str] = {"op3_credentials": _op3_sql(), "op9_winnowing": OP9_SQL}
