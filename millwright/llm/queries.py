@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.llm import bpe, credentials, decontaminate, simhash
+from millwright.llm import bpe, credentials, decontaminate, sharding, simhash
 from millwright.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -31,6 +31,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.octet_length(F.coalesce(F.col("text"), F.lit(""))).cast("bigint")
+    rows = table(spark, sf_dir, "documents").select("doc_id", sharding.hashed(F.col("doc_id")).alias("hash"), size.alias("bytes"))
+    return sharding.assign(rows).drop("hash").withColumnRenamed("bytes", "row_bytes")
+
+
 def op3_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = credentials.scan(table(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{credentials.BASE[k]}")
@@ -55,6 +61,7 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_sharding": op1_sharding,
     "op3_credentials": op3_credentials,
     "op6_simhash": op6_simhash,
     "op9_winnowing": op9_winnowing,
@@ -140,4 +147,20 @@ def _op3_sql() -> str:
     return OP3_SQL.replace("{cuts}", cuts).replace("{assign}", quoted["assign"])
 
 
-SQL: dict[str, str] = {"op3_credentials": _op3_sql(), "op9_winnowing": OP9_SQL}
+OP1_SQL = """
+with doc as (
+    select doc_id, octet_length(encode(coalesce(text, ''))) as row_bytes,
+           ('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 15))::bigint as h
+    from documents
+), sums as (
+    select d, h >> (60 - d) as p, sum(row_bytes) as shard_bytes, count(*) as shard_rows
+    from doc, range(0, 61) t(d) group by all
+), shard as (
+    select d, p, shard_bytes, shard_rows from sums
+    where shard_bytes <= {limit} and (d = 0 or exists (select 1 from sums u where u.d = sums.d - 1 and u.p = sums.p >> 1 and u.shard_bytes > {limit}))
+)
+select doc_id, row_bytes, shard_bytes, shard_rows, case when d = 0 then '' else lpad(bin(p), d::integer, '0') end as shard
+from doc join shard on (h >> (60 - d)) = p
+"""
+
+SQL: dict[str, str] = {"op1_sharding": OP1_SQL.format(limit=sharding.LIMIT), "op3_credentials": _op3_sql(), "op9_winnowing": OP9_SQL}
