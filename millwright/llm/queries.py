@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.llm import bpe, credentials, decontaminate, sharding, simhash
+from millwright.llm import bpe, credentials, decontaminate, sharding, simhash, topk
 from millwright.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -37,6 +37,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(rows).drop("hash").withColumnRenamed("bytes", "row_bytes")
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op3_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = credentials.scan(table(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{credentials.BASE[k]}")
@@ -62,6 +66,7 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
+    "op2_topk": op2_topk,
     "op3_credentials": op3_credentials,
     "op6_simhash": op6_simhash,
     "op9_winnowing": op9_winnowing,
@@ -102,6 +107,21 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as big
 from doc left join words using (rid) left join names using (rid)
 """
 
+OP2_SQL = """
+with vec as (
+    select vec_id, min(list_transform(embedding, lambda x: floor(1024 * x::double)::bigint)) as v
+    from embeddings
+    where vec_id is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    group by vec_id
+), pair as (
+    select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda t: t[1] * t[2]))::bigint as score
+    from vec q join vec c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id
+)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+from pair qualify rank <= 10
+"""
+
 OP3_SQL = r"""
 with doc as (select row_number() over () as rid, doc_id, coalesce(text, '') as t from documents),
 cut as (
@@ -163,4 +183,4 @@ select doc_id, row_bytes, shard_bytes, shard_rows, case when d = 0 then '' else
 from doc join shard on (h >> (60 - d)) = p
 """
 
-SQL: dict[str, str] = {"op1_sharding": OP1_SQL.format(limit=sharding.LIMIT), "op3_credentials": _op3_sql(), "op9_winnowing": OP9_SQL}
+SQL: dict[str, str] = {"op1_sharding": OP1_SQL.format(limit=sharding.LIMIT), "op2_topk": OP2_SQL, "op3_credentials": _op3_sql(), "op9_winnowing": OP9_SQL}
