@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.llm import bpe, credentials, decontaminate, sharding, simhash, topk
+from millwright.llm import bpe, credentials, decontaminate, sharding, simhash, topk, warc
 from millwright.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -52,6 +52,11 @@ def op3_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archived(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -68,11 +73,24 @@ QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_topk": op2_topk,
     "op3_credentials": op3_credentials,
+    "op4_warc": op4_warc,
     "op6_simhash": op6_simhash,
     "op9_winnowing": op9_winnowing,
     "op10_bpe": op10_bpe,
 }
 
+OP4_SQL = """
+with page as (
+    select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+), first as (
+    select *, min(page_id) over (partition by payload_digest) as least from page
+)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 100 and page_id is distinct from least then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 100 and page_id is distinct from least then least end as refers_to
+from first
+"""
+
 OP9_SQL = r"""
 with doc as (
     select row_number() over () as rid, doc_id,
@@ -183,4 +201,4 @@ select doc_id, row_bytes, shard_bytes, shard_rows, case when d = 0 then '' else
 from doc join shard on (h >> (60 - d)) = p
 """
 
-SQL: dict[str, str] = {"op1_sharding": OP1_SQL.format(limit=sharding.LIMIT), "op2_topk": OP2_SQL, "op3_credentials": _op3_sql(), "op9_winnowing": OP9_SQL}
+SQL: dict[str, str] = {"op1_sharding": OP1_SQL.format(limit=sharding.LIMIT), "op2_topk": OP2_SQL, "op3_credentials": _op3_sql(), "op4_warc": OP4_SQL, "op9_winnowing": OP9_SQL}
