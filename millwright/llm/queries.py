@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.llm import bpe, credentials, decontaminate, quality, sharding, simhash, topk, warc
+from millwright.llm import bpe, credentials, decontaminate, quality, sharding, simhash, topk, toxicity, warc
 from millwright.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -57,6 +57,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op2_topk": op2_topk,
     "op3_credentials": op3_credentials,
     "op4_warc": op4_warc,
+    "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
     "op8_quality": op8_quality,
     "op9_winnowing": op9_winnowing,
