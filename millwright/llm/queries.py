@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.llm import bpe, credentials, decontaminate, quality, sharding, simhash, topk, toxicity, warc
+from millwright.llm import bpe, credentials, decontaminate, quality, sharding, simhash, suffix, topk, toxicity, warc
 from millwright.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -61,6 +61,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.without_repeats(table(spark, sf_dir, "documents"), with_kept=False).drop("kept")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -84,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op4_warc": op4_warc,
     "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
+    "op7_suffix": op7_suffix,
     "op8_quality": op8_quality,
     "op9_winnowing": op9_winnowing,
     "op10_bpe": op10_bpe,
