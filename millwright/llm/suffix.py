@@ -2,13 +2,15 @@
 
 A byte goes if a string of ``LENGTH`` bytes over it also starts in a document with a smaller id.
 
-1. Shards. Every window of ``LENGTH`` bytes has an anchor, the k-gram of smallest hash in it (the leftmost of ties).
-   Neighbouring windows with one anchor form a segment; equal windows have equal anchors, so all places of a string go
-   to the shard of its anchor. Of equal segments in one slice of documents only those of the smallest id travel; the
-   others are repeats, whatever else is found. This keeps a very common passage to one segment a slice.
-2. Suffix arrays. A shard drops segments whose anchor no other document has, keeps one copy of equal segments, and sorts
-   the rest by induced sorting, a bounded number of bytes at a time, whole anchors together. Permuted common prefixes
-   of ``LENGTH`` symbols or more join neighbours to classes of equal strings; the smallest id of each class decides.
+1. Anchors. Every window of ``LENGTH`` bytes has an anchor, the k-gram of smallest hash in it (the leftmost of ties).
+   Neighbouring windows with one anchor form a segment. Equal windows have equal anchors, so all places of a string meet
+   in the shard of its anchor, which finds the anchors that several documents have. Only hashes and places travel.
+   Of equal segments in one slice of documents only those of the smallest id take part; the others are repeats,
+   whatever else is found. This keeps a very common passage to one segment a slice.
+2. Suffix arrays. Segments of shared anchors, with their bytes, go to the shards. A shard keeps one copy of equal
+   segments and sorts the rest by induced sorting, a bounded number of bytes at a time, whole anchors together. Permuted
+   common prefixes of ``LENGTH`` symbols or more join neighbours to classes of equal strings; the smallest id of each
+   class decides.
 3. Repeated spans return to their documents, overlap is merged, and what is left is hashed.
 """
 
@@ -84,10 +86,6 @@ def _merged(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nda
     return row[at], start[at], (reach - lift)[last]
 
 
-def _spans_batch(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in (row, start, end)], names=["row", "start", "end"])
-
-
 def _pieces(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
     """Numbers, offsets and bytes of texts or of chunks of long ones, at most about ``_CHUNK`` bytes together."""
     held: tuple[list[int], list[int], list[bytes]] = ([], [], [])
@@ -107,61 +105,66 @@ def _pieces(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], list[byt
         yield held
 
 
-def _segments(doc: np.ndarray, row: np.ndarray, texts: list[bytes], shards: int) -> Iterator[tuple[int, bytes, tuple | None]]:
-    """(shard, packed segments, None) for each shard touched, and (-1, b"", spans) of repeats found on the way."""
-    packer = zstandard.ZstdCompressor(level=3)
-    for number, offset, parts in _pieces(texts):
-        data = np.frombuffer(b"".join(parts), dtype=np.uint8)
+class _Segments:
+    """The segments of some texts: arrays doc, row, start and size in bytes, check and shard of the anchor."""
+
+    def __init__(self, doc: np.ndarray, row: np.ndarray, piece: tuple[list[int], list[int], list[bytes]], shards: int):
+        number, offset, parts = piece
+        self.data = np.frombuffer(b"".join(parts), dtype=np.uint8)
         sizes = np.array([len(p) for p in parts])
         begin = np.cumsum(sizes) - sizes
-        least, hashed = _anchors(data)
-        # windows that lie in one text
-        inside = np.ones(len(data), dtype=bool)
+        least, hashed = _anchors(self.data)
+        inside = np.ones(len(self.data), dtype=bool)  # windows that lie in one text
         for k in range(1, LENGTH):
             inside[begin + sizes - k] = False
         at = np.flatnonzero(inside[: len(least)])
         key = least[at]
         fresh = np.concatenate([[True], key[1:] != key[:-1]])
-        first = at[fresh]
-        last = at[np.concatenate([fresh[1:], [True]])]
-        size = last - first + LENGTH
-        owner = np.searchsorted(begin, first, side="right") - 1
-        of = np.array(number)[owner]
-        seg_doc, seg_row = doc[of], row[of]
-        start = first - begin[owner] + np.array(offset)[owner]
+        self.first = at[fresh]
+        self.size = at[np.concatenate([fresh[1:], [True]])] - self.first + LENGTH
+        owner = np.searchsorted(begin, self.first, side="right") - 1
+        self.text = np.array(number)[owner]
+        self.doc, self.row = doc[self.text], row[self.text]
+        self.start = self.first - begin[owner] + np.array(offset)[owner]
         anchor = hashed[(key[fresh] & _PLACE).astype(np.int64)]
+        self.check = (anchor & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        self.shard = (anchor >> np.uint64(32)).astype(np.int64) % shards
+
+    def keep(self, which: np.ndarray) -> None:
+        for name in ("first", "size", "text", "doc", "row", "start", "check", "shard"):
+            setattr(self, name, getattr(self, name)[which])
 
-        # of equal segments those of the smallest id travel
-        power = np.cumprod(np.concatenate([[1], np.full(len(data), _BASE, dtype=np.uint64)]).astype(np.uint64))
-        undo = np.cumprod(np.concatenate([[1], np.full(len(data), _INVERSE, dtype=np.uint64)]).astype(np.uint64))
+    def drop_repeats(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Leave out segments equal to one of a smaller id; their spans."""
+        data, first, size = self.data, self.first, self.size
+        power, undo = (np.cumprod(np.concatenate([[1], np.full(len(data), b, dtype=np.uint64)]).astype(np.uint64)) for b in (_BASE, _INVERSE))
         sums = np.concatenate([[0], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1])]).astype(np.uint64)
         content = (sums[first + size] - sums[first]) * undo[first] + size.astype(np.uint64)
-        order = np.lexsort((seg_doc, content))
-        group = np.concatenate([[True], content[order][1:] != content[order][:-1]])
-        lead = order[np.maximum.accumulate(np.where(group, np.arange(len(order)), 0))]
+        order = np.lexsort((self.doc, content))
+        group = np.concatenate([[True], content[order][1:] != content[order][:-1]])[: len(order)]
         leader = np.empty(len(order), dtype=np.int64)
-        leader[order] = lead
-        later = np.flatnonzero((seg_doc > seg_doc[leader]) & (size == size[leader]))
+        leader[order] = order[np.maximum.accumulate(np.where(group, np.arange(len(order)), 0))]
+        later = np.flatnonzero((self.doc > self.doc[leader]) & (size == size[leader]))
         later = later[_equal(data, first[later], first[leader[later]], size[later])]
-        if len(later):
-            yield -1, b"", _merged(seg_row[later], start[later], start[later] + size[later])
-        sent = np.ones(len(first), dtype=bool)
-        sent[later] = False
-        sent = np.flatnonzero(sent)
-        shard = (anchor[sent] >> np.uint64(32)).astype(np.int64) % shards
-        order = np.argsort(shard, kind="stable")
-        sent, shard = sent[order], shard[order]
-        columns = (seg_doc, seg_row, start, size, (anchor & np.uint64(0xFFFFFFFF)))
-        columns = [c[sent].astype(t) for c, (_, t) in zip(columns, _FIELDS)]
-        length = size[sent]
-        place = np.cumsum(length) - length
-        where = np.repeat((first[sent] - place), length) + np.arange(int(length.sum()))
-        text = data[where]
-        cuts = [*np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])).tolist(), len(shard)]
+        spans = _merged(self.row[later], self.start[later], self.start[later] + size[later])
+        self.keep(np.delete(np.arange(len(first)), later))
+        return spans
+
+    def packed(self, with_text: bool) -> Iterator[tuple[int, bytes]]:
+        """(shard, packed segments) of each shard touched."""
+        packer = zstandard.ZstdCompressor(level=3)
+        order = np.argsort(self.shard, kind="stable")
+        shard, size = self.shard[order], self.size[order]
+        place = np.cumsum(size) - size
+        text = self.data[np.repeat(self.first[order] - place, size) + np.arange(int(size.sum()))] if with_text else None
+        cuts = [*np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])[: len(shard)]).tolist(), len(shard)]
         for a, b in zip(cuts, cuts[1:]):
-            lo, hi = int(place[a]), int(place[b - 1] + length[b - 1])
-            raw = b"".join([np.int64(b - a).tobytes(), *(c[a:b].tobytes() for c in columns), text[lo:hi].tobytes()])
-            yield int(shard[a]), packer.compress(raw), None
+            columns = [getattr(self, name)[order[a:b]].astype(kind) for name, kind in _FIELDS]
+            # ids and places come in order: differences are small and pack well
+            raw = [np.int64(b - a).tobytes(), *(np.diff(c, prepend=c.dtype.type(0)).tobytes() for c in columns)]
+            if with_text:
+                raw.append(text[int(place[a]) : int(place[b - 1] + size[b - 1])].tobytes())
+            yield int(shard[a]), packer.compress(b"".join(raw))
 
 
 def _unpacked(payloads: list[bytes]) -> tuple[dict[str, np.ndarray], np.ndarray]:
@@ -170,22 +173,36 @@ def _unpacked(payloads: list[bytes]) -> tuple[dict[str, np.ndarray], np.ndarray]
     for raw in map(zstandard.ZstdDecompressor().decompress, payloads):
         n, at = int(np.frombuffer(raw, np.int64, 1)[0]), 8
         for name, kind in _FIELDS:
-            fields[name].append(np.frombuffer(raw, kind, n, at))
+            fields[name].append(np.cumsum(np.frombuffer(raw, kind, n, at), dtype=kind))
             at += n * np.dtype(kind).itemsize
         texts.append(np.frombuffer(raw, np.uint8, offset=at))
     return {k: np.concatenate(v) for k, v in fields.items()}, np.concatenate(texts)
 
 
+def _by_anchor(seg: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order by anchor; first place and size of each anchor's group in it; whether several documents have the anchor."""
+    order = np.lexsort((seg["doc"], seg["check"]))
+    check, doc = seg["check"][order], seg["doc"][order]
+    head = np.flatnonzero(np.concatenate([[True], check[1:] != check[:-1]]))
+    many = np.concatenate([head[1:], [len(check)]]) - head
+    return order, head, many, doc[head] != doc[head + many - 1]
+
+
+def shared_anchors(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, start) of a shard's segments whose anchor stands in several documents, in order of rows."""
+    seg, _ = _unpacked(payloads)
+    order, _, many, shared = _by_anchor(seg)
+    members = order[np.repeat(shared, many)]
+    members = members[np.lexsort((seg["start"][members], seg["row"][members]))]
+    return seg["row"][members], seg["start"][members]
+
+
 def shard_repeats(payloads: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row, start, end) of the spans in a shard's segments that repeat strings of smaller ids."""
     seg, text = _unpacked(payloads)
     size = seg["size"].astype(np.int64)
     place = np.cumsum(size) - size
-    order = np.lexsort((seg["doc"], seg["check"]))
-    check, doc = seg["check"][order], seg["doc"][order]
-    head = np.flatnonzero(np.concatenate([[True], check[1:] != check[:-1]]))
-    many = np.concatenate([head[1:], [len(check)]]) - head
-    shared = doc[head] != doc[head + many - 1]
+    order, head, many, shared = _by_anchor(seg)
     raw = text.tobytes()
     # whole anchors, about SORTED_BYTES of text at a time
     upto = np.cumsum(np.add.reduceat(size[order], head) * shared) // SORTED_BYTES
@@ -236,49 +253,92 @@ def _sorted_repeats(raw, members, place, size, doc, row, start) -> Iterator[tupl
     yield row[holder], start[holder] + skip[span], start[holder] + (last + LENGTH - begin[which])[span]
 
 
+_PACKED = "shard bigint, payload binary, row bigint, start array<bigint>, end array<bigint>"
+_LONGS = pa.list_(pa.int64())
+
+
+def _batch(shard: list[int], payload: list[bytes | None], row: list[int | None], start: list, end: list) -> pa.RecordBatch:
+    arrays = [pa.array(shard, pa.int64()), pa.array(payload, pa.binary()), pa.array(row, pa.int64()), pa.array(start, _LONGS), pa.array(end, _LONGS)]
+    return pa.RecordBatch.from_arrays(arrays, names=["shard", "payload", "row", "start", "end"])
+
+
+def _per_row(shard: list[int] | None, row: np.ndarray, start: np.ndarray, end: np.ndarray | None) -> pa.RecordBatch:
+    """A row for each ``row`` with lists of its starts and ends; equal rows are adjacent."""
+    head = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])[: len(row)])
+    cuts = pa.array(np.concatenate([head, [len(row)]]).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(cuts, pa.array((v if v is not None else start[:0]).astype(np.int64))) if v is not None else pa.nulls(len(head), _LONGS) for v in (start, end)]
+    arrays = [pa.nulls(len(head), pa.int64()) if shard is None else pa.array(row[head] % shard[0]), pa.nulls(len(head), pa.binary()), pa.array(row[head]), *lists]
+    return pa.RecordBatch.from_arrays(arrays, names=["shard", "payload", "row", "start", "end"])
+
+
+def _per_shard(batches: Iterable[pa.RecordBatch], work) -> Iterator[pa.RecordBatch]:
+    """``work`` on the payloads of each shard; rows come sorted by shard, those without payload pass."""
+    last, held = None, []
+    for batch in batches:
+        passing = batch.filter(batch.column("payload").is_null())
+        if passing.num_rows:
+            yield passing
+        rest = batch.filter(batch.column("payload").is_valid())
+        for shard, payload in zip(rest.column("shard").to_pylist(), rest.column("payload")):
+            if shard != last:
+                if held:
+                    yield from work(held)
+                last, held = shard, []
+            held.append(payload.as_py())
+    if held:
+        yield from work(held)
+
+
 def repeated_spans(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(row, start, end) of repeated spans, by ROW of ``docs`` (doc_id, text, ROW); spans may overlap."""
+    """(row, start, end) of repeated spans, by ROW of ``docs`` (doc_id, text, ROW), as lists; spans may overlap."""
     frame = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("doc"), F.col(ROW).alias("row"), F.col("text").cast("string").alias("text")
     )
     total = frame.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
-    names, none = ["shard", "payload", "row", "start", "end"], pa.array([], pa.int64())
 
-    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def segments(batch: pa.RecordBatch) -> Iterator[_Segments]:
+        doc, row = batch.column("doc").to_numpy(), batch.column("row").to_numpy()
+        for piece in _pieces(utf8(batch.column("text"))):
+            yield _Segments(doc, row, piece, shards)
+
+    def packed(found: _Segments, with_text: bool) -> Iterator[pa.RecordBatch]:
+        repeats = found.drop_repeats()
+        if len(repeats[0]):
+            yield _per_row([shards], *repeats)
+        for shard, payload in found.packed(with_text):
+            yield _batch([shard], [payload], [None], [None], [None])
+
+    def places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            doc, row = batch.column("doc").to_numpy(), batch.column("row").to_numpy()
-            for shard, payload, spans in _segments(doc, row, utf8(batch.column("text")), shards):
-                if spans is None:
-                    lists = [pa.array([[]], pa.list_(pa.int64()))] * 3
-                else:
-                    lists = [pa.ListArray.from_arrays(pa.array([0, len(s)], pa.int32()), pa.array(s.astype(np.int64))) for s in spans]
-                    shard = int(row[0]) % shards
-                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([payload], pa.binary()), *lists], names=names)
-
-    def sort(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by shard."""
-        last, held = None, []
-
-        def done() -> Iterator[pa.RecordBatch]:
-            if held:
-                for spans in shard_repeats(held):
-                    yield _spans_batch(*_merged(*spans))
-
-        for batch in batches:
-            if len(found := batch.column("row").flatten()):
-                yield pa.RecordBatch.from_arrays([found, *(batch.column(c).flatten() for c in ("start", "end"))], names=["row", "start", "end"])
-            for shard, payload in zip(batch.column("shard").to_pylist(), batch.column("payload")):
-                if shard != last:
-                    yield from done()
-                    last, held = shard, []
-                if payload := payload.as_py():
-                    held.append(payload)
-        yield from done()
-
-    packed = "shard bigint, payload binary, row array<bigint>, start array<bigint>, end array<bigint>"
-    dealt = frame.mapInArrow(cut, packed).repartition("shard").sortWithinPartitions("shard")
-    return dealt.mapInArrow(sort, "row bigint, start bigint, end bigint")
+            for found in segments(batch):
+                yield from packed(found, False)
+
+    def asked(payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
+        row, start = shared_anchors(payloads)
+        if len(row):
+            yield _per_row(None, row, start, None)
+
+    def texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            wanted = batch.column("wanted")
+            at = np.repeat(np.arange(batch.num_rows), np.diff(wanted.offsets.to_numpy()))
+            wanted = (at << 40) + wanted.flatten().to_numpy()
+            for found in segments(batch):
+                found.keep(np.isin((found.text << 40) + found.start, wanted))
+                if len(found.first):
+                    yield from packed(found, True)
+
+    def repeats(payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
+        for spans in shard_repeats(payloads):
+            yield _per_row(None, *_merged(*spans))
+
+    dealt = frame.mapInArrow(places, _PACKED).repartition("shard").sortWithinPartitions("shard")
+    found = written(dealt.mapInArrow(lambda b: _per_shard(b, asked), _PACKED).drop("shard", "payload"), "shared-anchors")
+    wanted = found.where("end is null").groupBy("row").agg(F.flatten(F.collect_list("start")).alias("wanted"))
+    cut = frame.join(wanted, "row").mapInArrow(texts, _PACKED)
+    sorted_ = cut.repartition("shard").sortWithinPartitions("shard").mapInArrow(lambda b: _per_shard(b, repeats), _PACKED)
+    return found.where("end is not null").unionByName(sorted_.select("row", "start", "end"))
 
 
 def without_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES, with_kept: bool = True) -> DataFrame:
@@ -289,9 +349,11 @@ def without_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES, with_kept:
     """
     rows = with_row_id(docs.select("doc_id", "text"))
     spans = written(repeated_spans(rows, shard_bytes), "repeated-spans")
-    lists = spans.groupBy(F.col("row").alias(ROW)).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    lists = spans.groupBy(F.col("row").alias(ROW)).agg(
+        F.flatten(F.collect_list("start")).alias("start"), F.flatten(F.collect_list("end")).alias("end")
+    )
     joined = rows.select(ROW, F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).join(lists, ROW, "left")
-    joined = joined.select("doc_id", "text", "spans.start", "spans.end")
+    joined = joined.select("doc_id", "text", "start", "end")
 
     def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
