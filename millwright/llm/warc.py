@@ -71,7 +71,9 @@ def _with_shards(rows: DataFrame, shard_bytes: int) -> DataFrame:
     offset = F.coalesce(F.col("page_id") - F.lit(least or 0), F.lit(0)).cast("bigint")
     # of a page the range only needs id and size; ids of one shard are whole unless one id alone is too large
     key = rows.groupBy(offset.alias("hash")).agg(F.sum(F.octet_length("payload")).alias("bytes"))
-    shards = sharding.assign(key, shard_bytes, min(bits, 62)).select(F.col("hash").alias("offset"), "shard")
+    # an id too large for a shard is one of its own, named by its place among the ids
+    alone = F.when(F.col("shard").startswith("row"), F.concat(F.lit("id"), F.col("hash").cast("string"))).otherwise(F.col("shard"))
+    shards = sharding.assign(key, shard_bytes, min(bits, 62)).select(F.col("hash").alias("offset"), alone.alias("shard"))
     return rows.withColumn("offset", offset).join(shards, "offset").drop("offset")
 
 
