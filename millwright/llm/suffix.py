@@ -32,7 +32,7 @@ from millwright.session import written
 LENGTH, GRAM = 50, 16
 SHARD_BYTES = 4 << 20  # of text for each shard; its segments take about four times that
 SORTED_BYTES = 2 << 20  # of segments sorted at once
-_CHUNK = 8 << 20  # a longer text is read in overlapping chunks
+_CHUNK = 4 << 20  # a longer text is read in overlapping chunks
 _PLACE = np.uint64((1 << 24) - 1)
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -289,6 +289,23 @@ def _per_shard(batches: Iterable[pa.RecordBatch], work) -> Iterator[pa.RecordBat
         yield from work(held)
 
 
+def _compressed(frame: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``keys`` (longs) and the text as ``packed``, for joins that must move every text; a null text is empty."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in text_slices(batches):
+            packed = pa.array([packer.compress(t) for t in utf8(batch.column("text"))], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), packed], names=[*keys, "packed"])
+
+    return frame.select(*keys, "text").mapInArrow(run, ", ".join(f"{k} bigint" for k in keys) + ", packed binary")
+
+
+def _texts(batch: pa.RecordBatch) -> list[bytes]:
+    unpacker = zstandard.ZstdDecompressor()
+    return [unpacker.decompress(t) for t in batch.column("packed").to_pylist()]
+
+
 def repeated_spans(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(row, start, end) of repeated spans, by ROW of ``docs`` (doc_id, text, ROW), as lists; spans may overlap."""
     frame = docs.select(
@@ -297,9 +314,9 @@ def repeated_spans(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame
     total = frame.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
 
-    def segments(batch: pa.RecordBatch) -> Iterator[_Segments]:
+    def segments(batch: pa.RecordBatch, texts: list[bytes]) -> Iterator[_Segments]:
         doc, row = batch.column("doc").to_numpy(), batch.column("row").to_numpy()
-        for piece in _pieces(utf8(batch.column("text"))):
+        for piece in _pieces(texts):
             yield _Segments(doc, row, piece, shards)
 
     def packed(found: _Segments, with_text: bool) -> Iterator[pa.RecordBatch]:
@@ -311,7 +328,7 @@ def repeated_spans(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame
 
     def places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            for found in segments(batch):
+            for found in segments(batch, utf8(batch.column("text"))):
                 yield from packed(found, False)
 
     def asked(payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
@@ -320,11 +337,11 @@ def repeated_spans(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame
             yield _per_row(None, row, start, None)
 
     def texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, "packed"):
             wanted = batch.column("wanted")
             at = np.repeat(np.arange(batch.num_rows), np.diff(wanted.offsets.to_numpy()))
             wanted = (at << 40) + wanted.flatten().to_numpy()
-            for found in segments(batch):
+            for found in segments(batch, _texts(batch)):
                 found.keep(np.isin((found.text << 40) + found.start, wanted))
                 if len(found.first):
                     yield from packed(found, True)
@@ -336,7 +353,7 @@ def repeated_spans(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame
     dealt = frame.mapInArrow(places, _PACKED).repartition("shard").sortWithinPartitions("shard")
     found = written(dealt.mapInArrow(lambda b: _per_shard(b, asked), _PACKED).drop("shard", "payload"), "shared-anchors")
     wanted = found.where("end is null").groupBy("row").agg(F.flatten(F.collect_list("start")).alias("wanted"))
-    cut = frame.join(wanted, "row").mapInArrow(texts, _PACKED)
+    cut = _compressed(frame, ("doc", "row")).join(wanted, "row").mapInArrow(texts, _PACKED)
     sorted_ = cut.repartition("shard").sortWithinPartitions("shard").mapInArrow(lambda b: _per_shard(b, repeats), _PACKED)
     return found.where("end is not null").unionByName(sorted_.select("row", "start", "end"))
 
@@ -352,13 +369,13 @@ def without_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES, with_kept:
     lists = spans.groupBy(F.col("row").alias(ROW)).agg(
         F.flatten(F.collect_list("start")).alias("start"), F.flatten(F.collect_list("end")).alias("end")
     )
-    joined = rows.select(ROW, F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).join(lists, ROW, "left")
-    joined = joined.select("doc_id", "text", "start", "end")
+    texts = rows.select(ROW, F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    joined = _compressed(texts, (ROW, "doc_id")).join(lists, ROW, "left").select("doc_id", "packed", "start", "end")
 
     def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, "packed"):
             out = []
-            for text, starts, ends in zip(utf8(batch.column("text")), batch.column("start"), batch.column("end")):
+            for text, starts, ends in zip(_texts(batch), batch.column("start"), batch.column("end")):
                 kept, removed, n = [text], 0, 0
                 if starts.is_valid:
                     a, b = (s.values.to_numpy() for s in (starts, ends))
