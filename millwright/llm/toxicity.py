@@ -141,13 +141,13 @@ def needed(matrix: np.ndarray, y: np.ndarray, base: float, depth: int = DEPTH) -
 def label_model(matrix: np.ndarray, base: float, rounds: int = 12) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     """Posterior of the hidden label per row, from votes alone, and the estimated rates and correlations.
 
-    A voter that doesn't fire abstains; that all abstain is a vote too. A vote's log-odds are divided by the sum of its
-    absolute correlations, given the label, with the votes cast on the same text. Starts from "any vote means toxic".
+    A voter that doesn't fire abstains; texts on which all abstain are toxic with a tenth of the base rate. A vote's
+    log-odds are divided by the sum of its absolute correlations, given the label, with the votes cast on the same text.
+    Starts from "any vote means toxic".
     """
-    none = ~matrix.any(1, keepdims=True)
-    matrix = np.concatenate([matrix, none], axis=1).astype(np.float32)
+    none = ~matrix.any(1)
     n, m = matrix.shape
-    posterior = np.where(none[:, 0], 0.1 * base, 0.9)
+    posterior = np.where(none, 0.1 * base, 0.9)
     found = {"toxic": np.full(m, 0.5), "clean": np.full(m, 0.5), "correlation": np.eye(m)}
     for _ in range(rounds if n else 0):
         weight = posterior.sum()
@@ -161,8 +161,9 @@ def label_model(matrix: np.ndarray, base: float, rounds: int = 12) -> tuple[np.n
         np.fill_diagonal(correlation, 1)
         strong = np.where(np.abs(correlation) > 0.1, np.abs(correlation), 0).astype(np.float32)
         say = matrix / np.maximum(matrix @ strong, 1)
-        logit = np.log(prior / (1 - prior)) + say @ np.log(toxic / clean)
-        before, posterior = posterior, 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+        # voters are taken to be better than chance, which keeps the two labels from changing places on few rows
+        logit = np.log(prior / (1 - prior)) + say @ np.maximum(np.log(toxic / clean), 0)
+        before, posterior = posterior, np.where(none, 0.1 * base, 1 / (1 + np.exp(-np.clip(logit, -30, 30))))
         found = {"toxic": toxic, "clean": clean, "correlation": correlation}
         if np.abs(before - posterior).max() < 1e-3:
             break
