@@ -21,9 +21,13 @@ def round_half_even(value: Column, digits: int) -> Column:
     return F.bround(value, digits)
 
 
-def exact_decimal(value: Column) -> Column:
-    """Float to decimal through its shortest text, so 0.1 stays 0.1."""
-    return value.cast("string").cast("decimal(38,10)")
+def exact_text(value: Column) -> Column:
+    """The shortest text that reads back as the same float: 0.1 stays 0.1, and no magnitude is lost.
+
+    A decimal type of fixed scale would round small values and overflow on large ones; the writer
+    of items builds its decimal from this text.
+    """
+    return value.cast("string")
 
 
 def logistic(weights: dict[str, float], intercept: float) -> Column:

@@ -2,27 +2,23 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+from typing import Any
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.numeric import exact_decimal
+from ..functions.numeric import exact_text
+from ..schemas import SERVICE_RECORD
 
-ITEM_SCHEMA = (
-    "service_record_id string, "
-    "dealer struct<dealer_id:string,dealer_name:string,dealer_location:string>, "
-    "vehicle struct<vin:string,model:string,year:int,odometer_reading:int>, "
-    "service_details struct<service_date:string,service_advisor_name:string,total_cost:double,"
-    "services_performed:array<struct<service_code:string,service_name:string,service_cost:double,technician_notes:string>>,"
-    "parts_used:array<struct<part_code:string,part_name:string,quantity:int,unit_cost:double>>>, "
-    "customer struct<customer_id:string,customer_name:string>"
-)
+NUMBER = "exact_number"  # the field that marks an exact number: its text
 
 
 def decimals(value: Column, kind: T.DataType) -> Column:
-    """The same value with every float inside it turned into an exact decimal."""
+    """The same value with every float inside it turned into a struct that holds its exact text."""
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return exact_decimal(value)
+        return F.when(value.isNotNull(), F.struct(exact_text(value).alias(NUMBER)))
     if isinstance(kind, T.ArrayType):
         return F.transform(value, lambda e: decimals(e, kind.elementType))
     if isinstance(kind, T.StructType):
@@ -35,9 +31,18 @@ def floats_to_decimals(df: DataFrame) -> DataFrame:
     return df.select(*[decimals(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields])
 
 
+def with_numbers(value: Any) -> Any:
+    """An item as plain Python values, exact texts as decimals; runs on the rows at hand in the writer."""
+    if isinstance(value, dict):
+        if set(value) == {NUMBER}:
+            return Decimal(value[NUMBER])
+        return {k: with_numbers(v) for k, v in value.items()}
+    return [with_numbers(v) for v in value] if isinstance(value, list) else value
+
+
 def item_rows(records: DataFrame, *keep: str) -> DataFrame:
     """Typed items of raw record texts; an unreadable text gives a null item."""
-    item = F.from_json("raw", ITEM_SCHEMA, {"mode": "PERMISSIVE"})
+    item = F.from_json("raw", SERVICE_RECORD, {"mode": "PERMISSIVE"})
     return floats_to_decimals(records.select(*keep, item.alias("item")))
 
 
@@ -47,5 +52,6 @@ def last_record_per_key(records: DataFrame, key: str, *order: str) -> DataFrame:
     Runs on raw texts, before the costly parse; readable texts only.
     """
     keyed = records.withColumn("_key", F.get_json_object("raw", f"$.{key}")).where(F.col("_key").isNotNull())
-    picked = keyed.groupBy("_key").agg(F.max_by("raw", F.struct(*order)).alias("raw"))
-    return picked.select(F.col("_key").alias(key), "raw")
+    # ranked on narrow rows; whole texts are neither sorted nor compared
+    last = keyed.groupBy("_key").agg(F.max(F.struct(*order)).alias("_last")).select("_key", *[F.col(f"_last.{o}").alias(o) for o in order])
+    return keyed.join(last, ["_key", *order], "left_semi").select(F.col("_key").alias(key), "raw")

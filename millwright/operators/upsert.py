@@ -3,7 +3,7 @@
 Update and insert run as two joins instead of one full outer join: the update is
 a left join that Spark may broadcast or split on skew, and the insert is an anti
 join on keys only. The source is written first, so its size is known when the
-joins are planned: a daily source beside a large target never shuffles the target.
+joins are planned: beside a daily source that Spark can broadcast, a large target isn't shuffled.
 """
 
 from __future__ import annotations
@@ -55,6 +55,8 @@ def resolve_duplicates(
 ) -> DataFrame:
     if duplicates == "error":
         return one_row_per_key(source, keys)
+    if duplicates == "merge":
+        return source
     if duplicates == "latest":
         keyed, loose = _split_keyed(source, keys)
         return latest_per_key(keyed, keys, order).unionByName(loose)
@@ -66,26 +68,34 @@ def upsert(
     source: DataFrame,
     keys: Sequence[str],
     updated: Sequence[str],
-    duplicates: str = "error",
+    duplicates: str = "merge",
     order: Sequence[str] = (),
 ) -> DataFrame:
     """Target with matching rows updated and unmatched source rows appended.
 
     Only ``updated`` columns change on a match. Null keys match nothing. The
     checked source is written once, so Spark plans the joins on its true size.
+    Repeated source keys follow MERGE (``merge``): they fail when they match a target row, and are all
+    appended when they don't. ``error`` fails on any repeat, ``latest`` keeps the greatest by ``order``.
     """
     clean = written(resolve_duplicates(source, keys, duplicates, order), "upsert-source")
     keyed, loose = _split_keyed(clean, keys)
-    incoming = keyed.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.struct(*updated).alias("_new"),
+    incoming = keyed.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(
+        F.first(F.struct(*updated)).alias("_new"), F.count("*").alias("_copies")
     )
+    # counted once and written, so that the join is planned on its true size
+    incoming = written(incoming, "upsert-incoming")
+    named = F.concat_ws(", ", *[F.col(f"_k_{k}").cast("string") for k in keys])
+    repeated = F.raise_error(F.concat(F.lit("several source rows for key "), named))
     on: Column = F.lit(True)
     for k in keys:
         on = on & (F.col(k) == F.col(f"_k_{k}"))
     replaced = target.join(incoming, on, "left").select(
         *[
-            F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
+            F.when(F.col("_copies") > 1, repeated.cast(target.schema[c].dataType))
+            .when(F.col("_new").isNotNull(), F.col(f"_new.{c}"))
+            .otherwise(F.col(c))
+            .alias(c)
             if c in updated
             else F.col(c)
             for c in target.columns

@@ -55,6 +55,8 @@ SINGLE: dict[str, Query] = {
     "q_first_rule": service.first_rule,
     "q_posted_verdict": service.posted_verdict,
     "q_kv_items": service.kv_items,
+    "q_exact_numbers": service.exact_numbers,
+    "q_ingest_to_star": service.ingest_to_star,
     "q_paths": service.paths,
     "q_status_counts": explore.status_counts,
     "q_failure_by_hour": explore.failure_by_hour,
@@ -74,6 +76,7 @@ SINGLE: dict[str, Query] = {
     "ml_score": model.score,
     "st_score": stream.score,
     "st_sensor_to_lake": stream.sensor_to_lake,
+    "st_lake_to_upsert": stream.lake_to_upsert,
     "st_cdc_log": stream.cdc_log,
     "st_risk_counts": stream.risk_counts,
     "st_prev_state": stream.prev_state,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..schemas import FAMILIES, Family
 from ..sources.shapes import ROUTES, STATUS, reading_sql
 from .explore_queries import THRESHOLDS
-from .sensor_queries import CRM_DAY, DAY, SCORERS, UPSERT_SOURCE, UPSERT_TARGET
+from .sensor_queries import CRM_DAY, DAY, SCORERS, UPSERT_SOURCE, UPSERT_TARGET, engineered_weights
 
 K = "cast(json_extract_string(props, '$.k') as int)"
 ISO = "'%Y-%m-%dT%H:%M:%S.%f'"
@@ -122,6 +122,19 @@ def _train_features(f: Family) -> str:
     )
 
 
+def _complete(f: Family) -> str:
+    """CTEs ending in ``h``: history with features and look back, rows with anything missing left out."""
+    lags = _list(f"lag({c}) over w as {c}_prev" for c in f.lagged)
+    known = " and ".join(
+        [f"{c} is not null" for c in (*f.readings, *TRAINING[f.name])] + [f"{c}_prev is not null" for c in f.lagged]
+    )
+    return (
+        f"{_history(f).replace(', h as (', ', raw as (')}, d as (select *, {_calendar()}, {_formulas(TRAINING[f.name])}, {lags} "
+        f"from raw window w as (partition by machine_id order by timestamp, event_id)), "
+        f"h as (select *, {_list(f'{c} - {c}_prev as {c}_change' for c in f.lagged)} from d where {known})"
+    )
+
+
 def _serving_prev(f: Family) -> str:
     zeroed = _list(f"coalesce({c}, 0) as {c}" for c in f.model_inputs)
     prev = _list(f"coalesce(lag({c}) over w, {c}) as {c}_prev" for c in f.lagged)
@@ -168,6 +181,23 @@ def _predictions() -> str:
     )
 
 
+def _streamed() -> str:
+    """The same with the score on engineered features; a single reading is its own predecessor."""
+    parts = []
+    for f in FAMILIES.values():
+        z = f"{SCORERS[f.name][1]}::double" + "".join(f" + {n} * {w}::double" for n, w in engineered_weights(f).items())
+        first = f.lagged[0]
+        parts.append(
+            f"select event_id, timestamp as prediction_timestamp, machine_id, machine_type, 1.0::double / (1.0::double + exp(-({z}))) as p from "
+            f"(with {_sensors(f, f'event_type in {_in(ROUTES[f.name])}')} select *, {_calendar()}, {_formulas(SERVING[f.name])}, "
+            f"{first} as {first}_prev, 0 as {first}_change from s)"
+        )
+    return (
+        "select event_id, prediction_timestamp, machine_id, machine_type, round_even(p, 3) as failure_probability, "
+        f"{RISK} as risk_level from ({' union all '.join(parts)}) where p is not null"
+    )
+
+
 _VISITS = (
     "v as (select strftime(o_orderdate, '%Y-%m-%d') as doc_id, l_orderkey, l_linenumber, l_partkey, l_suppkey, "
     "concat_ws('-', 'SRV', l_orderkey, l_linenumber, l_partkey, l_suppkey) as service_record_id, "
@@ -216,7 +246,7 @@ def _corr(pairs: list[tuple[str, str]], cte: str) -> str:
 def _corr_matrix(f: Family) -> str:
     names = [*f.key_features, "failure"]
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
-    return _corr(pairs, _history(f))
+    return _corr(pairs, _complete(f))
 
 
 def _melted(f: Family) -> str:
@@ -230,14 +260,14 @@ _BIN = "case when hi = lo then 0 else cast(least(floor((x - lo) / ((hi - lo) / 3
 
 def _histogram(f: Family) -> str:
     return (
-        f"with {_history(f)}, m as ({_melted(f)}), b as (select feature, min(x) as lo, max(x) as hi from m group by 1) "
+        f"with {_complete(f)}, m as ({_melted(f)}), b as (select feature, min(x) as lo, max(x) as hi from m group by 1) "
         f"select feature, {_BIN} as bin, failure, count(*) as rows from m join b using (feature) group by 1, 2, 3"
     )
 
 
 def _density(f: Family) -> str:
     return (
-        f"with {_history(f)}, m as ({_melted(f)}), b as (select feature, min(x) as lo, max(x) as hi from m group by 1), "
+        f"with {_complete(f)}, m as ({_melted(f)}), b as (select feature, min(x) as lo, max(x) as hi from m group by 1), "
         "c as (select feature, failure, count(*) as n, stddev_samp(x) * pow(count(*), -0.2::double) as h from m group by 1, 2), "
         "g as (select unnest(range(30)) as point), "
         "p as (select c.*, point, lo + (hi - lo) * point / 29 as gx from c join b using (feature), g where h > 0) "
@@ -259,7 +289,7 @@ def _density_2d() -> str:
             f"(select min({a})::double as xl, max({a})::double as xh, min({b})::double as yl, max({b})::double as yh from h) "
             f"where {a} is not null and {b} is not null group by 1, 2, 3, 4, 5"
         )
-    return f"with {_history(f)} " + " union all ".join(parts)
+    return f"with {_complete(f)} " + " union all ".join(parts)
 
 
 def _standardize(f: Family) -> str:
@@ -319,11 +349,9 @@ def _class_report() -> str:
 
 
 def _top_features(f: Family) -> str:
-    derived = TRAINING[f.name]
-    names = [*f.model_inputs, "time_since_maintenance", "hour_of_day", "day_of_week", *derived]
-    parts = [f"select '{c}' as feature, round(abs(corr({c}, failure)), 6) as importance from d" for c in names]
+    parts = [f"select '{c}' as feature, round(abs(corr({c}, failure)), 6) as importance from h" for c in f.feature_order]
     return (
-        f"with {_history(f)}, d as (select *, {_calendar()}, {_formulas(derived)} from h) select * from "
+        f"with {_complete(f)} select * from "
         f"({' union all '.join(parts)}) order by importance desc nulls last, feature limit {f.top_features}"
     )
 
@@ -452,6 +480,25 @@ def check_sql() -> dict[str, str]:
         "(partition by service_record_id order by l_shipdate desc, l_extendedprice desc, l_quantity desc, l_discount desc, "
         "l_tax desc) as rn from v) where rn = 1"
     )
+    out["q_exact_numbers"] = (
+        "with p as (select *, l_extendedprice::double as price from lineitem) select l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+        "price as plain, price / 7 as seventh, price / 7 * 1e-20::double as tiny, price / 7 * 1e30::double as huge from p"
+    )
+    per_table = {
+        "fact_service_records": "select doc_id from g",
+        "dim_dealer": "select distinct doc_id, dealer_id from g",
+        "dim_vehicle": "select distinct doc_id, vin from g",
+        "dim_customer": "select distinct doc_id, customer_id from g",
+        "dim_services_performed": "select doc_id from g where l_tax > 0 union all select doc_id from g where l_discount > 0",
+        "dim_parts_used": "select doc_id from g where o_orderpriority <> '1-URGENT' union all "
+        "select doc_id from g where o_orderpriority <> '1-URGENT' and l_returnflag = 'R'",
+        "items": "select doc_id from g",
+        "error": "select doc_id from v where doc_id in (select doc_id from v where total_cost < 0)",
+    }
+    out["q_ingest_to_star"] = f"with {_GOOD} " + " union all ".join(
+        f"select '{name}' as \"table\", substr(doc_id, 1, 4) || '-01-01' as date, count(*) as rows from ({sql}) group by 2"
+        for name, sql in per_table.items()
+    )
     out["q_paths"] = (
         "with p as (select *, 'date=' || strftime(o_orderdate, '%Y-%m-%d') || '/' || o_orderkey || ' a' as rest from orders) "
         "select o_orderkey, 'service-records/' || rest || '.json' as key, "
@@ -460,13 +507,13 @@ def check_sql() -> dict[str, str]:
         "o_orderpriority as label, cast(contains(o_orderpriority, 'HIGH') as int) as is_high from p"
     )
 
-    out["q_status_counts"] = f"with {_history(arm)} select status, count(*) as rows from h group by status"
+    out["q_status_counts"] = f"with {_complete(arm)} select status, count(*) as rows from h group by status"
     out["q_failure_by_hour"] = (
-        f"with {_history(arm)} select cast(hour(ts) as int) as hour_of_day, round(avg(failure) * 100, 6) as failure_rate "
+        f"with {_complete(arm)} select hour_of_day, round(avg(failure) * 100, 6) as failure_rate "
         "from h group by 1"
     )
     out["q_failure_by_weekday"] = (
-        f"with {_history(arm)} select cast(isodow(ts) - 1 as int) as day_of_week, round(avg(failure) * 100, 6) as failure_rate "
+        f"with {_complete(arm)} select day_of_week, round(avg(failure) * 100, 6) as failure_rate "
         "from h group by 1"
     )
     out["q_dataset_stats"] = (
@@ -500,7 +547,7 @@ def check_sql() -> dict[str, str]:
         f"select case when event_type = 'error' then 1 else 0 end as failure, "
         f"case when {_draw(42, 10000)} < 7500 then 'train' else 'test' end as side, count(*) as rows from events group by 1, 2"
     )
-    out["st_score"] = out["q_union_predictions"]
+    out["st_score"] = _streamed()
     out["st_sensor_to_lake"] = out["q_sensor_flatten_arm_robot"]
     out["st_cdc_log"] = f"select *, substr(created_at, 1, 10) as date from ({out['q_cdc_classify']})"
     out["st_risk_counts"] = (
@@ -523,5 +570,6 @@ def check_sql() -> dict[str, str]:
     counted.append(
         f"select 'error' as \"table\", doc_id, records as rows from ({out['q_accept_reject']}) where rule is not null"
     )
+    out["st_lake_to_upsert"] = f"with {_sensors(arm)} select timestamp, machine_id, machine_type, {_list(arm.readings)} from s"
     out["st_star"] = " union all ".join(counted)
     return out

@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import timefn
 from ..operators import evaluate, explore, features, sampling
 from ..schemas import FAMILIES, Family
 from ..sources import shapes
-from .sensor_queries import fixed_score
+from .sensor_queries import fixed_score, history_width
 
 ARM = FAMILIES["arm_robot"]
 THRESHOLDS = {"at_30": 0.3, "at_50": 0.5, "at_70": 0.7}
@@ -19,19 +18,23 @@ def history(spark: SparkSession, sf_dir: str, family: Family = ARM) -> DataFrame
     return features.with_label(shapes.labelled_history(shapes.table(spark, sf_dir, "events"), family))
 
 
+def complete(spark: SparkSession, sf_dir: str, family: Family = ARM) -> DataFrame:
+    """The rows that the trainers explore: with features and look back, and nothing missing."""
+    rows = shapes.labelled_history(shapes.table(spark, sf_dir, "events"), family)
+    return features.training_features(rows, family, history_width(spark, sf_dir), "event_id", "status")
+
+
 def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explore.value_counts(history(spark, sf_dir), "status")
+    return explore.value_counts(complete(spark, sf_dir), "status")
 
 
 def failure_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hour = timefn.hour_of_day(timefn.parse_ts(F.col("timestamp")))
-    rates = explore.rate_by(history(spark, sf_dir), hour, "hour_of_day")
+    rates = explore.rate_by(complete(spark, sf_dir), F.col("hour_of_day"), "hour_of_day")
     return rates.withColumn("failure_rate", F.round("failure_rate", 6))
 
 
 def failure_by_weekday(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = timefn.day_of_week(timefn.parse_ts(F.col("timestamp")))
-    rates = explore.rate_by(history(spark, sf_dir), day, "day_of_week")
+    rates = explore.rate_by(complete(spark, sf_dir), F.col("day_of_week"), "day_of_week")
     return rates.withColumn("failure_rate", F.round("failure_rate", 6))
 
 
@@ -44,16 +47,16 @@ def dataset_head(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def correlation_matrix(spark: SparkSession, sf_dir: str, family: Family) -> DataFrame:
-    pairs = explore.correlation_matrix(history(spark, sf_dir, family), [*family.key_features, "failure"])
+    pairs = explore.correlation_matrix(complete(spark, sf_dir, family), [*family.key_features, "failure"])
     return pairs.withColumn("correlation", F.round("correlation", 6))
 
 
 def histogram(spark: SparkSession, sf_dir: str, family: Family) -> DataFrame:
-    return explore.histograms(history(spark, sf_dir, family), family.key_features)
+    return explore.histograms(complete(spark, sf_dir, family), family.key_features)
 
 
 def density(spark: SparkSession, sf_dir: str, family: Family) -> DataFrame:
-    curves = explore.densities(history(spark, sf_dir, family), family.key_features)
+    curves = explore.densities(complete(spark, sf_dir, family), family.key_features)
     return curves.select(
         "feature", "failure", "point", F.round("x", 6).alias("x"), F.round("density", 6).alias("density")
     )
@@ -61,7 +64,7 @@ def density(spark: SparkSession, sf_dir: str, family: Family) -> DataFrame:
 
 def density_2d(spark: SparkSession, sf_dir: str) -> DataFrame:
     family = FAMILIES["injection_molding"]
-    return explore.pair_densities(history(spark, sf_dir, family), family.scatter_pairs)
+    return explore.pair_densities(complete(spark, sf_dir, family), family.scatter_pairs)
 
 
 def standardize(spark: SparkSession, sf_dir: str, family: Family) -> DataFrame:
@@ -119,10 +122,8 @@ def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_features(spark: SparkSession, sf_dir: str, family: Family) -> DataFrame:
-    """Inputs ranked by the size of their correlation with failure."""
-    rows = features.with_derived(features.with_calendar(history(spark, sf_dir, family)), family, training=True)
-    names = [*family.model_inputs, "time_since_maintenance", "hour_of_day", "day_of_week", *[d.name for d in family.derived]]
-    pairs = explore.correlation_with(rows, names, "failure")
+    """All features ranked by the size of their correlation with failure."""
+    pairs = explore.correlation_with(complete(spark, sf_dir, family), list(family.feature_order), "failure")
     ranked = pairs.select("feature", F.round(F.abs("correlation"), 6).alias("importance"))
     return explore.top_features(ranked, family.top_features)
 

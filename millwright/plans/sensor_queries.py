@@ -104,6 +104,16 @@ def fixed_score(family: Family) -> Column:
     return logistic(weights, intercept)
 
 
+def engineered_weights(family: Family) -> dict[str, float]:
+    """Weights on readings, a ratio, the look back and the calendar: a stand-in for a trained model's features."""
+    first = family.lagged[0]
+    return SCORERS[family.name][0] | {family.derived[0].name: 0.02, f"{first}_prev": 0.0005, f"{first}_change": 0.1, "hour_of_day": 0.01}
+
+
+def engineered_score(family: Family) -> Column:
+    return logistic(engineered_weights(family), SCORERS[family.name][1])
+
+
 def score_rows(rows: DataFrame, family: Family, *keep: str) -> DataFrame:
     return scoring.risk_rows(rows, fixed_score(family), F.col("timestamp"), *keep)
 

@@ -9,9 +9,11 @@ from ..operators import flatten
 from ..schemas import FAMILIES, STAR_TABLES
 from ..session import scratch_dir
 from ..sources import shapes
+from ..sources.files import run_day
 from ..sources.streams import table_stream
 from ..streaming import flows
-from .sensor_queries import fixed_score, score_rows
+from . import jobs
+from .sensor_queries import engineered_score, score_rows
 
 ARM = FAMILIES["arm_robot"]
 
@@ -21,11 +23,25 @@ def _places(spark: SparkSession, label: str) -> tuple[str, str]:
     return f"{root}/out", f"{root}/checkpoint"
 
 
+def _in_time_order(spark: SparkSession, sf_dir: str, batches: int = 3) -> DataFrame:
+    """The events as a stream of ``batches`` micro-batches, earlier events first, so that state crosses batches."""
+    path = f"{scratch_dir(spark, 'events')}/in.parquet"
+    events = shapes.table(spark, sf_dir, "events")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(at), F.max(at)).first()
+    low, high = low or 0, high or 0
+    place = F.least(F.lit(batches - 1), F.floor((at - low) * batches / (high - low + 1)))
+    for k in range(batches):
+        part = events.where(place == k) if k else events.where((place == 0) | place.isNull())
+        part.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def score(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = _places(spark, "st-score")
     events = table_stream(spark, sf_dir, "events")
     flows.score_stream(
-        shapes.topic_messages(events), shapes.routed, fixed_score, out, checkpoint, F.col("timestamp"), ("event_id",)
+        shapes.topic_messages(events), shapes.routed, engineered_score, out, checkpoint, F.col("timestamp"), ("event_id",)
     )
     return spark.read.parquet(f"{out}/predictions").drop("batch_id")
 
@@ -37,6 +53,18 @@ def sensor_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).drop("ingest_date")
 
 
+def lake_to_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the lake stream staged, merged by the daily job into an empty lake and once more into the filled one."""
+    out, checkpoint = _places(spark, "st-staged")
+    messages = shapes.sensor_messages(table_stream(spark, sf_dir, "events"), ARM)
+    flows.lake_stream(messages, ARM, out, checkpoint)
+    for row in spark.read.parquet(out).select("ingest_date").distinct().collect():  # the days of this run, one or two
+        day = run_day(str(row[0]))
+        for _ in range(2):
+            jobs.upsert_day(spark, out, f"{out}-lake", ARM, day)
+    return spark.read.parquet(f"{out}-lake").drop(jobs.LAKE_PARTITION)
+
+
 def cdc_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = _places(spark, "st-changes")
     flows.change_stream(shapes.change_messages(table_stream(spark, sf_dir, "events")), out, checkpoint, "event_id")
@@ -45,7 +73,7 @@ def cdc_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def risk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = _places(spark, "st-counts")
-    rows = flatten.sensor_rows(shapes.sensor_messages(table_stream(spark, sf_dir, "events"), ARM), ARM)
+    rows = flatten.sensor_rows(shapes.sensor_messages(_in_time_order(spark, sf_dir), ARM), ARM)
     predictions = score_rows(rows, ARM).where(F.col("risk_level").isNotNull())
     flows.count_stream(predictions, out, checkpoint)
     counts = flows.current_counts(spark.read.parquet(out))
@@ -54,7 +82,7 @@ def risk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prev_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = _places(spark, "st-previous")
-    messages = shapes.sensor_messages(table_stream(spark, sf_dir, "events"), ARM)
+    messages = shapes.sensor_messages(_in_time_order(spark, sf_dir), ARM)
     rows = flatten.sensor_rows(messages, ARM, "event_id")
     flows.previous_stream(rows, ARM, out, checkpoint, "event_id")
     return spark.read.parquet(f"{out}/rows").drop("batch_id")

@@ -364,3 +364,14 @@ PREDICTION_SCHEMA = T.StructType(
         T.StructField("risk_level", T.StringType()),
     ]
 )
+
+# A service record as it arrives.
+SERVICE_RECORD = (
+    "service_record_id string, "
+    "dealer struct<dealer_id:string,dealer_name:string,dealer_location:string>, "
+    "vehicle struct<vin:string,model:string,year:int,odometer_reading:int>, "
+    "service_details struct<service_date:string,service_advisor_name:string,total_cost:double,"
+    "services_performed:array<struct<service_code:string,service_name:string,service_cost:double,technician_notes:string>>,"
+    "parts_used:array<struct<part_code:string,part_name:string,quantity:int,unit_cost:double>>>, "
+    "customer struct<customer_id:string,customer_name:string>"
+)

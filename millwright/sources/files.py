@@ -25,9 +25,20 @@ def run_day(text: str | None = None) -> date:
 
 
 def parquet_day(spark: SparkSession, root: str, day: date, schema: T.StructType) -> DataFrame:
-    """Rows of one staging folder ``root/yyyyMMdd``, typed as declared."""
+    """Staged rows of one day, typed as declared.
+
+    The lake stream partitions by ``ingest_date=yyyyMMdd``; reading the table as a whole keeps the stream's commit log
+    in force, and the filter lists one partition. A plain folder ``root/yyyyMMdd`` from elsewhere is read as well.
+    """
+    root = root.rstrip("/")
     try:
-        raw = spark.read.parquet(f"{root.rstrip('/')}/{day:%Y%m%d}/")
+        try:
+            raw = spark.read.parquet(f"{root}/{day:%Y%m%d}/")
+        except AnalysisException:
+            raw = spark.read.option("basePath", root).parquet(root)
+            if "ingest_date" not in raw.columns:
+                raise
+            raw = raw.where(F.col("ingest_date").cast("string") == f"{day:%Y%m%d}").drop("ingest_date")
     except AnalysisException as error:
         raise SourceUnreadable(str(error)) from error
     present = set(raw.columns)
@@ -45,7 +56,18 @@ def partition_day(table: DataFrame, column: str, day: date) -> DataFrame:
 
 
 def csv_table(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return spark.read.option("header", True).schema(schema).csv(path)
+    """Columns of ``schema`` by header name; a column that the file lacks is null, as is a value that does not fit.
+
+    Files of one read must agree in their headers, or the read fails.
+    """
+    wanted = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    return raw.select(
+        *[
+            (F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in raw.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in wanted.fields
+        ]
+    )
 
 
 def sensor_history(spark: SparkSession, path: str, family: Family) -> DataFrame:
@@ -60,7 +82,7 @@ def documents(spark: SparkSession, root: str, day: date | None = None) -> DataFr
     or an empty one, gives a single row with its whole text, so it still gets a verdict.
     """
     path = f"{root.rstrip('/')}/" + (f"date={day:%Y-%m-%d}/" if day else "")
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "{*.json,part-*.txt}")
     texts = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("doc_id"), "value")
     return explode_documents(texts)
 

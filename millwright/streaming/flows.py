@@ -39,11 +39,14 @@ def score_stream(
     checkpoint: str,
     at: Column | None = None,
     keep: tuple[str, ...] = (),
+    transform: Callable[[DataFrame, Family], DataFrame] | None = None,
 ) -> None:
-    """Score every family's messages in one query; unusable messages go to ``rejects``.
+    """Score every family's messages in one query, on the features a model is trained on; unusable messages go whole
+    to ``rejects``.
 
-    ``route`` picks the messages of a family. ``at`` is the prediction time, by
-    default the processing time.
+    ``route`` picks the messages of a family. ``probability`` is a column over the feature frame, or over what
+    ``transform`` makes of it: for a trained model, its ``transform`` and ``training.failure_probability``. ``at`` is
+    the prediction time, by default the processing time.
     """
     moment = timefn.iso_text(F.current_timestamp()) if at is None else at
 
@@ -51,16 +54,13 @@ def score_stream(
         good, bad = [], []
         for family in FAMILIES.values():
             mine = route(batch, family)
-            rows = scoring.risk_rows(
-                flatten.sensor_rows(mine, family, *keep), probability(family), moment, *keep
-            )
-            good.append(scoring.accepted(rows))
+            rows = flatten.sensor_rows(mine, family, *keep, "value")
+            framed = features.serving_features(rows, family, *keep, "value", "timestamp", "machine_id", "machine_type")
+            framed = transform(framed, family) if transform else framed
+            rows = scoring.risk_rows(framed, probability(family), moment, *keep, "value")
+            good.append(scoring.accepted(rows).drop("value"))
             bad.append(flatten.sensor_rejects(mine, family, *keep).withColumn("reason", F.lit("malformed")))
-            bad.append(
-                scoring.unscored(rows).select(
-                    *keep, F.to_json(F.struct("machine_id", "machine_type")).alias("value"), F.lit("no_score").alias("reason")
-                )
-            )
+            bad.append(scoring.unscored(rows).select(*keep, "value", F.lit("no_score").alias("reason")))
         write_batch(scoring.union_families(good, *keep), f"{out}/predictions", batch_id)
         rejects = bad[0]
         for more in bad[1:]:
@@ -71,17 +71,19 @@ def score_stream(
 
 
 def lake_stream(messages: DataFrame, family: Family, out: str, checkpoint: str, *keep: str) -> None:
-    """Flatten messages into a staging folder per processing date."""
-    rows = flatten.sensor_rows(messages, family, *keep).withColumn(
-        "ingest_date", F.date_format(F.current_timestamp(), timefn.DAY_COMPACT)
-    )
+    """Flatten messages into a staging folder per processing date; malformed ones go whole to ``<out>_rejects``."""
+    today = F.date_format(F.current_timestamp(), timefn.DAY_COMPACT)
+    rows = flatten.sensor_rows(messages, family, *keep).withColumn("ingest_date", today)
     run_to_end(parquet_stream(rows, out, "ingest_date"), checkpoint)
+    rejects = flatten.sensor_rejects(messages, family, *keep).withColumns({"reason": F.lit("malformed"), "ingest_date": today})
+    run_to_end(parquet_stream(rejects, f"{out}_rejects", "ingest_date"), f"{checkpoint}_rejects")
 
 
 def change_stream(messages: DataFrame, out: str, checkpoint: str, *keep: str) -> None:
-    """Classified change log, every row in the partition of its own date."""
+    """Classified change log, every row in the partition of its own date; the rest goes whole to ``<out>_rejects``."""
     rows = changes.with_change_date(changes.classify_changes(messages, *keep))
     run_to_end(parquet_stream(rows, out, "date"), checkpoint)
+    run_to_end(parquet_stream(changes.rejected_changes(messages, *keep), f"{out}_rejects", "reason"), f"{checkpoint}_rejects")
 
 
 def count_stream(predictions: DataFrame, out: str, checkpoint: str) -> None:

@@ -88,7 +88,15 @@ def test_several_target_rows_of_a_key_are_all_updated(spark):
 def test_repeated_source_key_is_an_error(spark):
     source = frame(spark, ("1", "a", "n", 1), ("1", "a", "n", 2))
     with pytest.raises(Exception, match="several source rows for key 1, a"):
-        upsert.upsert(frame(spark), source, KEYS, ["x"]).collect()
+        upsert.upsert(frame(spark, ("1", "a", "o", 0)), source, KEYS, ["x"]).collect()
+    with pytest.raises(Exception, match="several source rows for key 1, a"):
+        upsert.upsert(frame(spark), source, KEYS, ["x"], "error").collect()
+
+
+def test_repeats_without_a_target_row_are_all_inserted(spark):
+    source = frame(spark, ("1", "a", "n", 1), ("1", "a", "n", 2), ("2", "a", "n", 3))
+    merged = upsert.upsert(frame(spark, ("2", "a", "o", 0)), source, KEYS, ["x"])
+    assert result(merged) == [("1", "a", "n", 1), ("1", "a", "n", 2), ("2", "a", "o", 3)]
 
 
 def test_latest_source_row_can_win(spark):

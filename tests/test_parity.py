@@ -21,7 +21,8 @@ def test_every_check_belongs_to_a_query():
 
 
 def test_only_models_lack_a_check():
-    assert {q for q in QUERIES if q not in SQL} == {"ml_train", "ml_tune", "ml_score"}
+    plain = {q for q in QUERIES if not q.startswith(("op", "pipeline"))}
+    assert {q for q in plain if q not in SQL} == {"ml_train", "ml_tune", "ml_score"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
