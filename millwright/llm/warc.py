@@ -22,12 +22,14 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwright.llm import sharding
-from millwright.session import scratch_dir
+from millwright.llm.common import ROW, text_slices, utf8, with_row_id
+from millwright.session import scratch_dir, written
 
 SHARED, SHARD_BYTES, ROLL, LEVEL = 100, 32 << 20, 8 << 20, 5
 DATE = "2025-01-01T00:00:00Z"
@@ -43,17 +45,24 @@ def _place(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
-def planned(pages: DataFrame) -> DataFrame:
-    """page_id, url, payload, payload_digest, record_type and refers_to per page.
+def _texts(pages: DataFrame) -> DataFrame:
+    """ROW, page_id, url and text; a null html is the empty text."""
+    text = F.coalesce(F.col("html").cast("string"), F.lit("")).alias("text")
+    return with_row_id(pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), text))
 
-    A null html is the empty payload. Pages that share payload and smallest page_id are all responses; a null
-    page_id is never the smallest unless all are null, and then the page is a response.
+
+def planned(texts: DataFrame) -> DataFrame:
+    """ROW, page_id, payload_bytes, payload_digest, record_type and refers_to per page; payloads themselves stay behind.
+
+    Pages that share payload and smallest page_id are all responses; a null page_id is never the smallest unless all
+    are null, and then the page is a response.
     """
-    text = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    rows = pages.select(
-        F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.encode(text, "UTF-8").alias("payload")
-    ).withColumn("payload_digest", F.sha2("payload", 256))
-    large = rows.where(F.octet_length("payload") >= SHARED)
+    payload = F.encode("text", "UTF-8")
+    narrow = texts.select(
+        ROW, "page_id", F.octet_length(payload).cast("bigint").alias("payload_bytes"), F.sha2(payload, 256).alias("payload_digest")
+    )
+    rows = written(narrow, "pages")
+    large = rows.where(F.col("payload_bytes") >= SHARED)
     first = large.groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     return (
@@ -64,13 +73,25 @@ def planned(pages: DataFrame) -> DataFrame:
     )
 
 
+def _packed(texts: DataFrame) -> DataFrame:
+    """ROW, url and the payload, compressed: it moves twice, to meet its plan and to its shard."""
+
+    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in text_slices(batches):
+            packed = pa.array([packer.compress(p) for p in utf8(batch.column("text"))], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(ROW), batch.column("url"), packed], names=[ROW, "url", "packed"])
+
+    return texts.select(ROW, "url", "text").mapInArrow(pack, f"{ROW} bigint, url string, packed binary")
+
+
 def _with_shards(rows: DataFrame, shard_bytes: int) -> DataFrame:
     """Rows with ``shard``, zeros and ones of a range of page ids."""
     least, most = rows.agg(F.min("page_id"), F.max("page_id")).first()
     bits = max(1, int((most or 0) - (least or 0)).bit_length())
     offset = F.coalesce(F.col("page_id") - F.lit(least or 0), F.lit(0)).cast("bigint")
     # of a page the range only needs id and size; ids of one shard are whole unless one id alone is too large
-    key = rows.groupBy(offset.alias("hash")).agg(F.sum(F.octet_length("payload")).alias("bytes"))
+    key = rows.groupBy(offset.alias("hash")).agg(F.sum("payload_bytes").alias("bytes"))
     # an id too large for a shard is one of its own, named by its place among the ids
     alone = F.when(F.col("shard").startswith("row"), F.concat(F.lit("id"), F.col("hash").cast("string"))).otherwise(F.col("shard"))
     shards = sharding.assign(key, shard_bytes, min(bits, 62)).select(F.col("hash").alias("offset"), alone.alias("shard"))
@@ -135,20 +156,21 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES
     """
     store, path = _place(folder)
     store.create_dir(f"{path}/_temporary", recursive=True)
-    rows = _with_shards(planned(pages), shard_bytes)
-    dealt = rows.repartition("shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "payload_digest", "url")
-    dealt = dealt.select("shard", "page_id", "url", "payload", "payload_digest", "refers_to")
+    texts = _texts(pages)
+    plan = written(_with_shards(planned(texts), shard_bytes).select(ROW, "shard", "page_id", "payload_digest", "refers_to"), "warc-plan")
+    dealt = _packed(texts).join(plan, ROW).repartition("shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "payload_digest", "url")
+    dealt = dealt.select("shard", "page_id", "url", "packed", "payload_digest", "refers_to")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, made = None, []
+        files, made, unpacker = None, [], zstandard.ZstdDecompressor()
         for batch in batches:
             columns = [batch.column(i) for i in range(6)]
             for i in range(batch.num_rows):  # one page at a time: a batch of payloads is not copied whole
-                shard, page_id, url, payload, digest, refers_to = (c[i].as_py() for c in columns)
+                shard, page_id, url, packed, digest, refers_to = (c[i].as_py() for c in columns)
                 if files is None or files.shard != (shard or "all"):
                     made += files.close() if files else []
                     files = _Files(folder, shard, roll)
-                files.add(record(page_id, url, payload, digest, refers_to))
+                files.add(record(page_id, url, unpacker.decompress(packed), digest, refers_to))
                 if files.full():
                     made += files.close()
         made += files.close() if files else []
