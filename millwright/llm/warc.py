@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwright.llm import sharding
-from millwright.llm.common import ROW, text_slices, utf8, with_row_id
+from millwright.llm.common import text_slices, utf8
 from millwright.session import scratch_dir, written
 
 SHARED, SHARD_BYTES, ROLL, LEVEL = 100, 32 << 20, 8 << 20, 5
@@ -46,24 +46,22 @@ def _place(path: str) -> tuple[fs.FileSystem, str]:
 
 
 def _texts(pages: DataFrame) -> DataFrame:
-    """ROW, page_id, url and text; a null html is the empty text."""
+    """page_id, url and text; a null html is the empty text."""
     text = F.coalesce(F.col("html").cast("string"), F.lit("")).alias("text")
-    return with_row_id(pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), text))
+    return pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), text)
 
 
 def planned(texts: DataFrame) -> DataFrame:
-    """ROW, page_id, payload_bytes, payload_digest, record_type and refers_to per page; payloads themselves stay behind.
+    """payload_bytes, copies, record_type and refers_to per page_id and payload_digest; payloads themselves stay behind.
 
     Pages that share payload and smallest page_id are all responses; a null page_id is never the smallest unless all
     are null, and then the page is a response.
     """
     payload = F.encode("text", "UTF-8")
-    narrow = texts.select(
-        ROW, "page_id", F.octet_length(payload).cast("bigint").alias("payload_bytes"), F.sha2(payload, 256).alias("payload_digest")
-    )
-    rows = written(narrow, "pages")
+    narrow = texts.select("page_id", F.octet_length(payload).cast("bigint").alias("payload_bytes"), F.sha2(payload, 256).alias("payload_digest"))
+    rows = written(narrow.groupBy("page_id", "payload_digest", "payload_bytes").agg(F.count("*").alias("copies")), "pages")
     large = rows.where(F.col("payload_bytes") >= SHARED)
-    first = large.groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = large.groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.sum("copies").alias("n")).where("n > 1").drop("n")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     return (
         rows.join(first, "payload_digest", "left")
@@ -74,15 +72,18 @@ def planned(texts: DataFrame) -> DataFrame:
 
 
 def _packed(texts: DataFrame) -> DataFrame:
-    """ROW, url and the payload, compressed: it moves twice, to meet its plan and to its shard."""
+    """page_id, url, payload_digest and the payload, compressed: it moves twice, to meet its plan and to its shard."""
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in text_slices(batches):
-            packed = pa.array([packer.compress(p) for p in utf8(batch.column("text"))], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(ROW), batch.column("url"), packed], names=[ROW, "url", "packed"])
+            payloads = utf8(batch.column("text"))
+            digest = pa.array([hashlib.sha256(p).hexdigest() for p in payloads], pa.string())
+            packed = pa.array([packer.compress(p) for p in payloads], pa.binary())
+            arrays = [batch.column("page_id"), batch.column("url"), digest, packed]
+            yield pa.RecordBatch.from_arrays(arrays, names=["page_id", "url", "payload_digest", "packed"])
 
-    return texts.select(ROW, "url", "text").mapInArrow(pack, f"{ROW} bigint, url string, packed binary")
+    return texts.mapInArrow(pack, "page_id bigint, url string, payload_digest string, packed binary")
 
 
 def _with_shards(rows: DataFrame, shard_bytes: int) -> DataFrame:
@@ -91,7 +92,7 @@ def _with_shards(rows: DataFrame, shard_bytes: int) -> DataFrame:
     bits = max(1, int((most or 0) - (least or 0)).bit_length())
     offset = F.coalesce(F.col("page_id") - F.lit(least or 0), F.lit(0)).cast("bigint")
     # of a page the range only needs id and size; ids of one shard are whole unless one id alone is too large
-    key = rows.groupBy(offset.alias("hash")).agg(F.sum("payload_bytes").alias("bytes"))
+    key = rows.groupBy(offset.alias("hash")).agg(F.sum(F.col("payload_bytes") * F.col("copies")).alias("bytes"))
     # an id too large for a shard is one of its own, named by its place among the ids
     alone = F.when(F.col("shard").startswith("row"), F.concat(F.lit("id"), F.col("hash").cast("string"))).otherwise(F.col("shard"))
     shards = sharding.assign(key, shard_bytes, min(bits, 62)).select(F.col("hash").alias("offset"), alone.alias("shard"))
@@ -157,8 +158,11 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES
     store, path = _place(folder)
     store.create_dir(f"{path}/_temporary", recursive=True)
     texts = _texts(pages)
-    plan = written(_with_shards(planned(texts), shard_bytes).select(ROW, "shard", "page_id", "payload_digest", "refers_to"), "warc-plan")
-    dealt = _packed(texts).join(plan, ROW).repartition("shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "payload_digest", "url")
+    plan = written(_with_shards(planned(texts), shard_bytes).select("shard", "page_id", "payload_digest", "refers_to"), "warc-plan")
+    packed = _packed(texts)
+    planned_for = (packed["payload_digest"] == plan["payload_digest"]) & packed["page_id"].eqNullSafe(plan["page_id"])
+    joined = packed.join(plan, planned_for).select(packed["*"], "shard", "refers_to")
+    dealt = joined.repartition("shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "payload_digest", "url")
     dealt = dealt.select("shard", "page_id", "url", "packed", "payload_digest", "refers_to")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
