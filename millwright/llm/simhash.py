@@ -153,9 +153,9 @@ def fingerprint_links(nodes: DataFrame, max_bits: int = MAX_BITS, blocks: int =
 def near_duplicates(
     docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), max_bits: int = MAX_BITS, blocks: int = BLOCKS, part: int = PART
 ) -> DataFrame:
-    """Per row of ``docs``: ``keys``, ``fp``, ``fingerprint`` (16 hex digits) and ``component_id``.
+    """Per row of ``docs``: ``keys``, ``fp``, ``fingerprint`` (16 hex digits), ``root`` and ``component_id``.
 
-    component_id is the smallest value of the first key among all rows whose fingerprints can be reached
+    root is the smallest fingerprint of the row's component, and names it. component_id is the smallest value of the first key among all rows whose fingerprints can be reached
     over links of at most ``max_bits`` differing bits. Every row is kept: repeated rows appear as often as
     they come, a null text counts as empty (fingerprint zero, linked like any other), a null id keeps its
     row and is never the smallest, unless all are null. Other columns of ``docs`` play no part.
@@ -165,12 +165,15 @@ def near_duplicates(
     roots = components(fingerprint_links(nodes, max_bits, blocks, part)).withColumnRenamed("node", "fp")
     rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = written(rooted.join(ids, "root").select("fp", "component_id"), "components")
+    named = written(rooted.join(ids, "root").select("fp", "root", "component_id"), "components")
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
-    return rows.join(named, "fp").select(*keys, "fp", digits, "component_id")
+    return rows.join(named, "fp").select(*keys, "fp", digits, "root", "component_id")
 
 
 def one_of_each(docs: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """``keys`` of the one row that stays of each group: the smallest doc_id, then the smallest further keys."""
+    """``keys`` of the one row that stays of each group: the smallest doc_id, then the smallest further keys.
+
+    Groups are told apart by root: components of repeated or null ids may share their smallest id.
+    """
     found = near_duplicates(docs, keys)
-    return found.groupBy("component_id").agg(F.min(F.struct(*keys)).alias("kept")).select("kept.*")
+    return found.groupBy("root").agg(F.min(F.struct(*keys)).alias("kept")).select("kept.*")

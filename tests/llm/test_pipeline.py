@@ -78,3 +78,13 @@ def test_no_documents(spark, tables):
 def test_every_operator_is_registered():
     names = {q.split("_")[0] for q in entry.queries() if q.startswith("op")}
     assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in entry.queries()
+
+
+def test_components_that_share_their_smallest_id_stay_apart(spark, tables):
+    texts = [(5, "gears turn in oil"), (5, "a letter about the harvest"), (None, "unknown text one"), (None, "some other words here"), (9, "gears turn in oil")]
+    fps = [brute_fingerprint(t) for _, t in texts]
+    folder = tables(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1))
+    component = smallest_reachable(list(range(len(texts))), fps)
+    assert component == [0, 1, 2, 3, 0]
+    got = corpus_pipeline.near_dedup(spark, table(spark, folder, "documents"), folder).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(texts[:4], key=str)
