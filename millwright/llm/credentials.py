@@ -83,14 +83,15 @@ def parts(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
 def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Per ROW the confirmed weak spans of a frame of :func:`parts`: an interval join within each row.
 
-    Each weak part asks in every stretch of ``scope`` code points that its scope touches; parts with the same
+    Each weak part asks in every stretch of ``scope`` code points that its scope touches, from the last code point
+    of a part that ends where the scope begins; parts with the same
     stretch of the same row meet, and the exact distance decides. Parts that overlap are within scope; a part
     that lies wholly inside another doesn't confirm it, being part of the same text.
     """
     each = found.where(F.size("weak") > 0).select(ROW, F.explode(F.concat("base", "weak")).alias("s")).select(ROW, "s.*")
     stretch = lambda c: F.floor(c / scope).cast("bigint")
     asking = each.where(F.col("kind") >= len(BASE)).withColumn(
-        "at", F.explode(F.sequence(stretch(F.greatest(F.lit(0), F.col("start") - scope)), stretch(F.col("end") + scope)))
+        "at", F.explode(F.sequence(stretch(F.greatest(F.lit(0), F.col("start") - scope - 1)), stretch(F.col("end") + scope)))
     )
     here = each.withColumn("at", F.explode(F.sequence(stretch(F.col("start")), stretch(F.col("end") - 1))))
     here = here.groupBy(ROW, "at", "kind").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("there"))
