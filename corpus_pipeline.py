@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwright.llm import bpe, credentials, decontaminate, simhash, toxicity
-from millwright.llm.common import ROW, table, with_row_id
+from millwright.llm.common import ROW, numbered, table
 from millwright.llm.queries import vocabulary_path
 from millwright.session import scratch_dir
 
@@ -20,27 +20,27 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier rejects go; the classifier is fitted on these documents and ``labels``."""
-    rows = with_row_id(docs)
+    rows = numbered(docs)
     scored = toxicity.score(rows, toxicity.fit(docs, table(spark, sf_dir, "labels")), (ROW,))
     return rows.join(scored.where(F.col("score") >= toxicity.THRESHOLD), ROW, "left_anti").drop(ROW)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays, the one with the smallest doc_id."""
-    rows = with_row_id(docs)
+    rows = numbered(docs)
     return rows.join(simhash.one_of_each(rows, ("doc_id", ROW)).select(ROW), ROW, "left_semi").drop(ROW)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
-    rows = with_row_id(docs)
+    rows = numbered(docs)
     found = decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), (ROW,))
     return rows.join(found.where("n_hit > 0").select(ROW), ROW, "left_anti").drop(ROW)
 
 
 def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets and confirmed credential parts are masked in the text, and n_chars follows; no document goes."""
-    rows = with_row_id(docs)
+    rows = numbered(docs)
     found = credentials.scan(rows, (ROW,)).where(F.size("spans") > 0).select(ROW, "spans")
     masked = rows.join(found, ROW, "left").withColumn(
         "text", F.when(F.col("spans").isNotNull(), credentials.redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text"))

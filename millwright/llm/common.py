@@ -8,8 +8,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millwright.session import written
+
 ROW = "_row_id_"
 SLICE_BYTES = 4 << 20
+_FILE, _FIRST, _IN_FILE = "_file_", "_first_", 40  # bits of a row's place in its file
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +24,22 @@ def with_row_id(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW, F.monotonically_increasing_id())
 
 
+def numbered(df: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` (all by default) of ``df`` with a number per row that stays the same however often they are read.
+
+    Rows of a plain Parquet scan are numbered by file and place in the file, which don't depend on how Spark splits
+    files. Any other frame is written with its numbers and read again.
+    """
+    columns = columns or tuple(df.columns)
+    if df._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation" or "_metadata" in df.columns:
+        return written(with_row_id(df.select(*columns)), "numbered")
+    place = df.select(*columns, F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.row_index").alias(ROW))
+    # one row per file; Spark's driver lists the files anyway
+    files = sorted(r[0] for r in df.select("_metadata.file_path").distinct().collect())
+    first = df.sparkSession.createDataFrame([(f, i << _IN_FILE) for i, f in enumerate(files)], f"{_FILE} string, {_FIRST} bigint")
+    return place.join(F.broadcast(first), _FILE).select(*columns, (F.col(_FIRST) + F.col(ROW)).alias(ROW))
+
+
 def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches cut to about ``SLICE_BYTES`` of text each, so that memory follows one long text, not many."""
     for batch in batches:

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.common import ROW, text_slices, utf8, with_row_id
+from millwright.llm.common import ROW, numbered, text_slices, utf8
 from millwright.llm.induced import capped_prefixes, suffix_array
 from millwright.session import written
 
@@ -364,7 +364,7 @@ def without_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES, with_kept:
     Every row gives one row. Null and empty texts have no bytes. Rows that share an id don't take from each other, and a
     null id counts as larger than any other. Texts under ``LENGTH`` bytes stay whole.
     """
-    rows = with_row_id(docs.select("doc_id", "text"))
+    rows = numbered(docs, "doc_id", "text")
     spans = written(repeated_spans(rows, shard_bytes), "repeated-spans")
     lists = spans.groupBy(F.col("row").alias(ROW)).agg(
         F.flatten(F.collect_list("start")).alias("start"), F.flatten(F.collect_list("end")).alias("end")
