@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +53,20 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iter
             yield batch.slice(start, step)
 
 
+def byte_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut by running bytes of a string column: a slice holds ``limit`` bytes or one text."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + limit, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8 bytes; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.llm import bpe, credentials, decontaminate, quality, sharding, simhash, suffix, topk, toxicity, warc
+from millwright.llm import bpe, credentials, decontaminate, merkle, packing, quality, sharding, simhash, suffix, topk, toxicity, warc
 from millwright.llm.common import table
 
-VOCABULARY = "word_bpe_49k.json"
+VOCABULARY, BYTE_LEVEL = "word_bpe_49k.json", "byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,11 +20,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
-def vocabulary_path() -> str:
-    """Where the installed package of public tokenizers keeps the vocabulary of op10."""
+def vocabulary_path(name: str = VOCABULARY) -> str:
+    """Where the installed package of public tokenizers keeps a vocabulary, by default that of op10."""
     import public_tokenizers
 
-    return public_tokenizers.path(VOCABULARY)
+    return public_tokenizers.path(name)
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +81,14 @@ def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary_path(BYTE_LEVEL))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_topk": op2_topk,
@@ -92,6 +100,8 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_winnowing": op9_winnowing,
     "op10_bpe": op10_bpe,
+    "op11_packing": op11_packing,
+    "op13_merkle": op13_merkle,
 }
 
 OP4_SQL = """
@@ -216,4 +226,63 @@ select doc_id, row_bytes, shard_bytes, shard_rows, case when d = 0 then '' else
 from doc join shard on (h >> (60 - d)) = p
 """
 
-SQL: dict[str, str] = {"op1_sharding": OP1_SQL.format(limit=sharding.LIMIT), "op2_topk": OP2_SQL, "op3_credentials": _op3_sql(), "op4_warc": OP4_SQL, "op9_winnowing": OP9_SQL}
+OP13_SQL = r"""
+with recursive doc as (
+    select row_number() over () as rid, doc_id, source, text,
+           concat(case when doc_id is null then '-' else octet_length(encode(doc_id::varchar)) || ':' || doc_id end,
+                  case when source is null then '-' else octet_length(encode(source)) || ':' || source end,
+                  case when lang is null then '-' else octet_length(encode(lang)) || ':' || lang end,
+                  case when n_chars is null then '-' else octet_length(encode(n_chars::varchar)) || ':' || n_chars end) as head,
+           list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+               lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 1, 2, 3, 4, 5, 6, 7]::bigint[]),
+                   lambda x, y: case when x & 1 = 1 then xor(x >> 1, 3988292384::bigint) else x >> 1 end)) as crc
+    from documents
+), field as (
+    select *, case when text is null then '-' else octet_length(encode(text)) || ':' || text end as whole,
+           case when text is null then '-' else octet_length(encode(replace(text, chr(10), ''))) || ':' || replace(text, chr(10), '') end as cut
+    from doc
+), leaf as (
+    select rid, doc_id, source, sha256(head || whole) as leaf,
+           case when xor(crc, 4294967295::bigint) % 2 = 0 then sha256(head || cut) else sha256(head || whole) end as tampered
+    from field
+), node as (
+    select 0 as lvl, source, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as i,
+           count(*) over (partition by source) as n, leaf as d, rid
+    from leaf
+    union all
+    select lvl + 1, source, i // 3, (n + 2) // 3, sha256(string_agg(d, '' order by i)), null
+    from (select * from node where n > 1) group by lvl, source, i // 3, n
+), subroot as (
+    select source, d, max(lvl) over () + 1 as base, row_number() over (order by source nulls first) - 1 as i, count(*) over () as n
+    from node where n = 1
+), upper as (
+    select base as lvl, i, n, d from subroot
+    union all
+    select lvl + 1, i // 3, (n + 2) // 3, sha256(string_agg(d, '' order by i))
+    from (select * from upper where n > 1) group by lvl, i // 3, n
+), root as (select d from upper where n = 1
+), way as (
+    select a.rid, s.lvl, s.i, s.d, a.i // power(3, s.lvl)::bigint as own
+    from (select * from node where lvl = 0) a
+    join node s on s.source is not distinct from a.source and s.n > 1 and s.i // 3 = a.i // power(3, s.lvl + 1)::bigint
+    union all
+    select a.rid, s.lvl, s.i, s.d, b.i // power(3, s.lvl - b.base)::bigint
+    from (select * from node where lvl = 0) a
+    join subroot b on b.source is not distinct from a.source
+    join upper s on s.n > 1 and s.i // 3 = b.i // power(3, s.lvl - b.base + 1)::bigint
+), step as (
+    select rid, lvl, coalesce(string_agg(d, '' order by i) filter (i < own), '') as before, coalesce(string_agg(d, '' order by i) filter (i > own), '') as after
+    from way group by rid, lvl
+), path as (
+    select rid, string_agg(before || after, '' order by lvl) as proof, list({'before': before, 'after': after} order by lvl) as steps
+    from step group by rid
+), fold as (
+    select rid, 1 as k, tampered as d from leaf
+    union all
+    select rid, k + 1, sha256(steps[k].before || d || steps[k].after) from fold join path using (rid) where k <= len(steps)
+), last as (select rid, arg_max(d, k) as folded_root from fold group by rid)
+select doc_id, leaf, s.d as subroot, root.d as root, sha256(coalesce(proof, '')) as proof_sha256, folded_root, folded_root = root.d as verified
+from leaf join subroot s on s.source is not distinct from leaf.source cross join root left join path using (rid) join last using (rid)
+"""
+
+SQL: dict[str, str] = {"op1_sharding": OP1_SQL.format(limit=sharding.LIMIT), "op2_topk": OP2_SQL, "op3_credentials": _op3_sql(), "op4_warc": OP4_SQL, "op9_winnowing": OP9_SQL, "op13_merkle": OP13_SQL}
