@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.llm import bpe, credentials, decontaminate, merkle, packing, quality, sharding, simhash, suffix, topk, toxicity, warc
+from millwright.llm import alignment, bpe, credentials, decontaminate, merkle, packing, quality, sharding, simhash, suffix, topk, toxicity, warc
 from millwright.llm.common import table
 
-VOCABULARY, BYTE_LEVEL = "word_bpe_49k.json", "byte_bpe_50k.json"
+VOCABULARY, BYTE_LEVEL, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +85,10 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary_path(BYTE_LEVEL))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), vocabulary_path(BYTE_LEVEL), vocabulary_path(PIECES))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(table(spark, sf_dir, "documents"))
 
@@ -101,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op9_winnowing": op9_winnowing,
     "op10_bpe": op10_bpe,
     "op11_packing": op11_packing,
+    "op12_alignment": op12_alignment,
     "op13_merkle": op13_merkle,
 }
 
