@@ -57,6 +57,7 @@ SINGLE: dict[str, Query] = {
     "q_kv_items": service.kv_items,
     "q_exact_numbers": service.exact_numbers,
     "q_ingest_to_star": service.ingest_to_star,
+    "q_document_commits": service.document_commits,
     "q_paths": service.paths,
     "q_status_counts": explore.status_counts,
     "q_failure_by_hour": explore.failure_by_hour,

@@ -499,6 +499,25 @@ def check_sql() -> dict[str, str]:
         f"select '{name}' as \"table\", substr(doc_id, 1, 4) || '-01-01' as date, count(*) as rows from ({sql}) group by 2"
         for name, sql in per_table.items()
     )
+    last = {
+        "fact_service_records": "select doc_id from k",
+        "dim_dealer": "select distinct doc_id, dealer_id from k",
+        "dim_vehicle": "select distinct doc_id, vin from k",
+        "dim_customer": "select distinct doc_id, customer_id from k",
+        "dim_services_performed": "select doc_id from k where l_tax > 0 union all select doc_id from k where l_discount > 0",
+        "dim_parts_used": "select doc_id from k union all select doc_id from k where l_returnflag = 'R'",
+        "items": "select doc_id from k",
+        "error": "select doc_id from s where doc_id in (select doc_id from b)",
+        "ledger": "select doc_id from s",
+    }
+    out["q_document_commits"] = (
+        f"with {_VISITS}, m as (select *, substr(doc_id, 6, 2) as mon, bool_or(l_linenumber <= 2) over (partition by doc_id) as cut from v), "
+        "s as (select * from m where mon <> '03' or not cut or l_linenumber <= 2), "
+        "b as (select distinct doc_id from s where mon = '07' or total_cost < 0), k as (select * from s where doc_id not in (select doc_id from b)) "
+    ) + " union all ".join(
+        f"select '{name}' as \"table\", 'date=' || substr(doc_id, 1, 4) || '-01-01/' || doc_id as doc_id, count(*) as rows from ({sql}) group by 2"
+        for name, sql in last.items()
+    )
     out["q_paths"] = (
         "with p as (select *, 'date=' || strftime(o_orderdate, '%Y-%m-%d') || '/' || o_orderkey || ' a' as rest from orders) "
         "select o_orderkey, 'service-records/' || rest || '.json' as key, "

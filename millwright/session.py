@@ -49,3 +49,34 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _path(spark: SparkSession, path: str):
+    """A path and its file system, of whatever store it names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, where = _path(spark, path)
+    return store.exists(where)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    store, where = _path(spark, path)
+    store.delete(where, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    store, where = _path(spark, path)
+    store.mkdirs(where)
+
+
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to where another one may stand."""
+    store, there = _path(spark, target)
+    store.delete(there, True)
+    store.mkdirs(there.getParent())
+    if not store.rename(_path(spark, source)[1], there):
+        raise OSError(f"{source} can't be moved to {target}")

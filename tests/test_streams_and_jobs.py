@@ -227,6 +227,78 @@ def test_documents_to_star_and_quarantine(spark, tmp_path):
     assert any(d == "date=2025-11-21" for d in os.listdir(f"{out}/error"))
 
 
+def some_documents(spark, *texts):
+    """One document per text, all of one date; a text lists the ids of its records, one beginning with x is broken."""
+    good = json.dumps(changed("service_record_id", "ID"))
+    rows = [
+        (f"date=2025-01-01/{doc}", i, good.replace('"ID"', f'"{r}"') if r[0] != "x" else "{broken")
+        for doc, text in texts
+        for i, r in enumerate(text.split())
+    ]
+    return spark.createDataFrame(rows, "doc_id string, pos long, raw string")
+
+
+def kept_records(spark, root):
+    facts = spark.read.schema("doc_id string, service_record_id string").parquet(f"{root}/parquet_for_analytics/fact_service_records").drop("date", "bucket")
+    errors = spark.read.schema("doc_id string, raw string").json(f"{root}/error").groupBy("doc_id").count()
+    return {tuple(r) for r in facts.collect()}, {r["doc_id"][-1]: r["count"] for r in errors.collect()}
+
+
+def test_a_document_replaces_itself_and_nothing_else(spark, tmp_path):
+    from millwright.plans import ledger
+
+    root, name = str(tmp_path / "out"), "date=2025-01-01/"
+    first = jobs.process_documents(some_documents(spark, ("a", "r1 r2 r3"), ("b", "r4")), root, buckets=1)  # they share partitions
+    assert jobs.process_documents(some_documents(spark, ("a", "r1 r2 r3")).repartition(3), root) is None
+    second = jobs.process_documents(some_documents(spark, ("a", "r1 r9"), ("c", "x1 r5")), root)
+    assert kept_records(spark, root) == ({(f"{name}a", "r1"), (f"{name}a", "r9"), (f"{name}b", "r4")}, {"c": 2})
+    jobs.process_documents(some_documents(spark, ("a", "x1"), ("c", "r5 r6")), root)
+    assert kept_records(spark, root) == ({(f"{name}b", "r4"), (f"{name}c", "r5"), (f"{name}c", "r6")}, {"a": 1})
+    jobs.process_documents(some_documents(spark, ("b", "x1"), ("c", "x1")), root)
+    facts, errors = kept_records(spark, root)
+    assert facts == set() and errors == {"a": 1, "b": 1, "c": 1}  # the partitions of the facts are empty now
+    rows = {r["doc_id"][-1]: r for r in ledger.entries(spark, root).collect()}
+    assert first < second < rows["c"]["commit"] and {d: r["records"] for d, r in rows.items()} == {"a": 1, "b": 1, "c": 1}
+
+
+@pytest.mark.parametrize("outputs", [0, 6, 8])
+def test_a_commit_that_breaks_off(spark, tmp_path, monkeypatch, outputs):
+    """Before it is decided it is forgotten, afterwards the next call finishes it."""
+    from millwright.plans import ledger
+
+    root = str(tmp_path / "out")
+    jobs.process_documents(some_documents(spark, ("a", "r1"), ("b", "r2")), root)
+    step = "replace_folder" if outputs == 8 else "write_partitions"
+    plain, left = getattr(ledger, step), [outputs // 2]
+
+    def breaks(*args, **more):
+        if not left[0]:
+            raise OSError("lost")
+        left[0] -= 1
+        plain(*args, **more)
+
+    with monkeypatch.context() as patch, pytest.raises(OSError):
+        patch.setattr(ledger, step, breaks)
+        jobs.process_documents(some_documents(spark, ("a", "r3 r4"), ("b", "x1")), root)
+    jobs.process_documents(some_documents(spark, ("d", "r7")), root)
+    facts, errors = kept_records(spark, root)
+    old, new = {"r1", "r2"}, {"r3", "r4"}
+    assert {r for _, r in facts} == (new if outputs == 8 else old) | {"r7"} and errors == ({"b": 1} if outputs == 8 else {})
+
+
+def test_rejected_files_leave_the_landing_zone(spark, tmp_path):
+    landing, root = tmp_path / "landing" / "date=2025-01-01", str(tmp_path / "out")
+    landing.mkdir(parents=True)
+    (landing / "good.json").write_text(json.dumps([changed("service_record_id", "r1")]))
+    (landing / "bad.json").write_text("{broken")
+    jobs.process_documents(files.documents(spark, str(tmp_path / "landing")), root)
+    from millwright.plans import ledger
+
+    assert ledger.rejected_sources(spark, root, str(tmp_path / "landing")) == 1
+    assert [p.name for p in landing.iterdir() if p.suffix == ".json"] == ["good.json"]
+    assert spark.read.schema("raw string").json(f"{root}/error").first()["raw"] == "{broken"
+
+
 def folder_writer(folder):
     """Stands in for a key-value store: one small file per item. Local, so that workers need no test module."""
 
