@@ -45,3 +45,12 @@ def stable_bucket(*keys: Column, seed: int = 42, buckets: int = 10000) -> Column
     text = F.concat_ws("|", *[k.cast("string") for k in keys], F.lit(str(seed)))
     head = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
     return F.pmod(head, F.lit(buckets)).cast("int")
+
+
+HASH_BITS = 60
+
+
+def stable_hash(*keys: Column, seed: int = 42) -> Column:
+    """The first 60 bits of the MD5 of the keys and the seed, as a number that is never negative."""
+    text = F.concat_ws("|", *[k.cast("string") for k in keys], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("bigint")

@@ -356,8 +356,13 @@ def _top_features(f: Family) -> str:
     )
 
 
-def _draw(seed: int, buckets: int) -> str:
-    return f"cast(('0x' || substr(md5(event_id || '|{seed}'), 1, 8))::bigint % {buckets} as int)"
+_SPLIT = (
+    "e as (select event_id, case when event_type = 'error' then 1 else 0 end as failure, "
+    "substr(md5(concat_ws('|', event_id, 42)), 1, 15) as h from events), "
+    "r as (select *, row_number() over (partition by failure order by h) as rn, "
+    "floor(count(*) over (partition by failure) * 0.75 + 0.5) as q from e)"
+)
+_FOLD = "case when rn > q then 5 else " + " + ".join(f"cast(rn > floor(q * {k} / 5) as int)" for k in range(1, 5)) + " end"
 
 
 def check_sql() -> dict[str, str]:
@@ -559,12 +564,11 @@ def check_sql() -> dict[str, str]:
         f"with {_compared()} select model, f1_score from e order by f1_score desc, place limit 1"
     )
     out["q_split"] = (
-        f"select event_id, case when event_type = 'error' then 1 else 0 end as failure, "
-        f"cast({_draw(42, 10000)} < 7500 as int) as is_train, {_draw(43, 5)} as fold from events"
+        f"with {_SPLIT} select event_id, failure, cast(rn <= q as int) as is_train, cast({_FOLD} as int) as fold from r"
     )
     out["q_split_shares"] = (
-        f"select case when event_type = 'error' then 1 else 0 end as failure, "
-        f"case when {_draw(42, 10000)} < 7500 then 'train' else 'test' end as side, count(*) as rows from events group by 1, 2"
+        f"with {_SPLIT}, f as (select failure, {_FOLD} as fold from r) select failure, "
+        "case when fold < 5 then 'train' else 'test' end as side, cast(nullif(fold, 5) as int) as fold, count(*) as rows from f group by all"
     )
     out["st_score"] = _streamed()
     out["st_sensor_to_lake"] = out["q_sensor_flatten_arm_robot"]

@@ -129,10 +129,11 @@ def top_features(spark: SparkSession, sf_dir: str, family: Family) -> DataFrame:
 
 
 def split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = history(spark, sf_dir).select("event_id", "failure")
-    sided = rows.withColumn("is_train", sampling.split_column(["event_id"]).cast("int"))
-    return sampling.with_fold(sided, ["event_id"])
+    """The exact stratified split and its folds; fold 5 holds the rows not trained on."""
+    rows = sampling.stratified(history(spark, sf_dir).select("event_id", "failure"), ["event_id"], "failure")
+    return rows.withColumns({"is_train": F.col("is_train").cast("int"), "fold": F.coalesce("fold", F.lit(sampling.FOLDS))})
 
 
 def split_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.stratum_shares(history(spark, sf_dir), ["event_id"], "failure")
+    rows = sampling.stratified(history(spark, sf_dir).select("event_id", "failure"), ["event_id"], "failure")
+    return sampling.stratum_shares(rows, "failure")

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from itertools import product
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from ..operators import evaluate, explore, sampling
 from ..operators.scoring import risk_rows
 from ..schemas import Family
+from ..session import written
 
 # The searched settings of each learner, in listed order.
 DEEPEST = 30  # unlimited depth; the library accepts no more
@@ -177,14 +177,11 @@ def train_family(
 ) -> Trained:
     """Split, tune every learner, compare on the hold-out rows, pick the best."""
     grids = grids or settings(family)
-    train, test = sampling.train_test(rows, keys)
-    train = sampling.with_fold(with_weights(train), keys, folds).persist(StorageLevel.MEMORY_AND_DISK)
+    sided = written(sampling.stratified(rows, keys, "failure", folds=folds), "split")
+    train, test = written(with_weights(sided.where("is_train")), "train"), sided.where("not is_train")
     out = Trained(family)
-    try:
-        for name, grid in grids.items():
-            out.models[name], out.chosen[name] = tune(train, family, name, grid, folds, parallelism)
-    finally:
-        train.unpersist()
+    for name, grid in grids.items():
+        out.models[name], out.chosen[name] = tune(train, family, name, grid, folds, parallelism)
     out.metrics = compare(test, out.models)
     out.best = evaluate.best_model(out.metrics, family.selection_metric).first()["model"]
     return out

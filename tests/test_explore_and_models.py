@@ -106,6 +106,33 @@ def test_split_is_stable_and_keeps_shares(spark):
     assert len(folds) == 5 and all(abs(r["count"] - 4000) < 300 for r in folds)
 
 
+@pytest.mark.parametrize(("rows", "share", "folds"), [(1, 0.75, 5), (3, 0.5, 5), (97, 0.75, 5), (20_000, 0.75, 3)])
+def test_stratified_split_is_exact(spark, rows, share, folds):
+    df = spark.range(rows).withColumn("kind", F.when(F.col("id") % 7 == 3, None).when(F.col("id") % 7 < 3, "a").otherwise("b"))
+    out = sampling.stratified(df, ["id"], "kind", share, folds).collect()
+    assert sorted(r["id"] for r in out) == list(range(rows))
+    for kind in (None, "a", "b"):
+        mine = [r for r in out if r["kind"] == kind]
+        train = [r["fold"] for r in mine if r["is_train"]]
+        assert abs(len(train) - share * len(mine)) <= 1
+        sizes = [train.count(k) for k in range(folds)]
+        assert sum(sizes) == len(train) and max(sizes) - min(sizes) <= 1
+    again = sampling.stratified(df.repartition(5), ["id"], "kind", share, folds)
+    assert sorted(map(tuple, again.collect()), key=lambda r: r[0]) == sorted(map(tuple, out), key=lambda r: r[0])
+
+
+def test_stratified_split_sorts_no_class(spark):
+    df = spark.range(50_000).withColumn("kind", F.lit("all"))
+    plan = sampling.stratified(df, ["id"], "kind")._jdf.queryExecution().toString()
+    assert "Window" not in plan
+
+
+def test_equal_keys_stay_together(spark):
+    df = spark.range(400).select((F.col("id") % 40).alias("id"), F.lit(1).alias("kind"))
+    out = sampling.stratified(df, ["id"], "kind").groupBy("id").agg(F.countDistinct(F.coalesce("fold", F.lit(9))).alias("n")).collect()
+    assert {r["n"] for r in out} == {1}
+
+
 def test_number_of_searched_settings():
     sizes = {name: [len(g) for g in training.settings(f).values()] for name, f in FAMILIES.items()}
     assert sizes == {
