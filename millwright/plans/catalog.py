@@ -75,6 +75,7 @@ SINGLE: dict[str, Query] = {
     "ml_train": model.train,
     "ml_tune": model.tuned,
     "ml_score": model.score,
+    "ml_boost_tree": model.first_trees,
     "st_score": stream.score,
     "st_sensor_to_lake": stream.sensor_to_lake,
     "st_lake_to_upsert": stream.lake_to_upsert,

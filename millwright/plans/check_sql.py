@@ -365,6 +365,39 @@ _SPLIT = (
 _FOLD = "case when rn > q then 5 else " + " + ".join(f"cast(rn > floor(q * {k} / 5) as int)" for k in range(1, 5)) + " end"
 
 
+def _first_trees(f: Family, weights: tuple[int, ...], bins: int = 16) -> str:
+    """The first two levels of splits by gradient and hessian sums, from a margin of zero, on bins of equal width."""
+    above = ", ".join(
+        f"list_sum(list_transform(range(1, {bins}), lambda k: cast({c}::double >= e.lo_{c} + (e.hi_{c} - e.lo_{c}) * k / {bins} as int)))"
+        for c in f.readings
+    )
+    ends = ", ".join(f"min({c}::double) as lo_{c}, max({c}::double) as hi_{c}" for c in f.readings)
+    parts = [
+        f"with {_complete(f)}, e as (select {ends} from h), w as (select unnest([{_list(map(str, weights))}]) as w)",
+        f"n0 as (select w, 0 as node, [{above}] as b, case when failure = 1 then -0.5::double * w else 0.5::double end as g, "
+        "case when failure = 1 then 0.25::double * w else 0.25::double end as h from h, e, w)",
+    ]
+    for d in range(3):
+        parts += [
+            f"c{d} as (select w, node, f, bin, sum(g) as g, sum(h) as h from (select w, node, g, h, unnest(range(1, {len(f.readings) + 1})) as f, "
+            f"unnest(b) as bin from n{d}) group by all)",
+            f"u{d} as (select *, sum(g) over o as gl, sum(h) over o as hl, sum(g) over t as gt, sum(h) over t as ht from c{d} "
+            "window o as (partition by w, node, f order by bin), t as (partition by w, node, f))",
+            f"a{d} as (select *, gl * gl / (hl + 1) + (gt - gl) * (gt - gl) / (ht - hl + 1) - gt * gt / (ht + 1) as gain from u{d} "
+            "where hl >= 1 and ht - hl >= 1)",
+            f"s{d} as (select * from a{d} where gain > 1e-6 and {d} < 2 qualify row_number() over (partition by w, node order by gain desc, f, bin) = 1)",
+            f"t{d} as (select w, node, any_value(gt) as g, any_value(ht) as h from u{d} where f = 1 group by all)",
+            f"n{d + 1} as (select n.w, 2 * n.node + 1 + cast(n.b[s.f] > s.bin as int) as node, b, n.g, n.h from n{d} n join s{d} s using (w, node))",
+        ]
+    names = "[" + ", ".join(f"'{c}'" for c in f.readings) + "]"
+    rows = " union all ".join(
+        f"select t.w as positive_weight, t.node, {names}[s.f] as feature, cast(s.bin as int) as bin, round(-t.g / (t.h + 1) * 0.1, 9) as weight "
+        f"from t{d} t left join s{d} s using (w, node)"
+        for d in range(3)
+    )
+    return ", ".join(parts) + " " + rows
+
+
 def check_sql() -> dict[str, str]:
     arm = FAMILIES["arm_robot"]
     out: dict[str, str] = {}
@@ -570,6 +603,7 @@ def check_sql() -> dict[str, str]:
         f"with {_SPLIT}, f as (select failure, {_FOLD} as fold from r) select failure, "
         "case when fold < 5 then 'train' else 'test' end as side, cast(nullif(fold, 5) as int) as fold, count(*) as rows from f group by all"
     )
+    out["ml_boost_tree"] = _first_trees(arm, (1, 3, 5))
     out["st_score"] = _streamed()
     out["st_sensor_to_lake"] = out["q_sensor_flatten_arm_robot"]
     out["st_cdc_log"] = f"select *, substr(created_at, 1, 10) as date from ({out['q_cdc_classify']})"

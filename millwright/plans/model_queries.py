@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timefn import iso_text
-from ..operators import evaluate
+from ..operators import boosting, evaluate
 from ..schemas import FAMILIES
 from ..session import scratch_dir
 from . import training
+from .explore_queries import complete
 from .sensor_queries import serving_prev, train_features
 
 ARM = FAMILIES["arm_robot"]
@@ -53,3 +54,20 @@ def score(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = serving_prev(spark, sf_dir, ARM).withColumn("machine_type", F.lit(ARM.machine_type))
     framed = rows.select("event_id", "machine_id", "machine_type", *order)
     return training.score(model, framed, iso_text(F.current_timestamp()), "event_id")
+
+
+def first_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first boosted tree of each searched positive weight over all complete rows, node by node."""
+    rows = complete(spark, sf_dir, ARM)
+    features = list(ARM.readings)
+    lanes = [boosting.Lane(depth=2, trees=1, rate=0.1, positive_weight=w) for w in training.POSITIVE_WEIGHTS]
+    models = boosting.fit(rows, features, "failure", lanes, edges=boosting.width_edges(rows, features, 16))
+    nodes, places = [], range(7)
+    for w, model in zip(training.POSITIVE_WEIGHTS, models):
+        tree = model.trees[0]
+        grown = {0} | {c for k in places if tree.feature[k] >= 0 for c in (2 * k + 1, 2 * k + 2)}
+        for k in sorted(grown):
+            split = tree.feature[k] >= 0
+            nodes.append((w, k, features[tree.feature[k]] if split else None, int(tree.bin[k]) if split else None, float(tree.value[k])))
+    out = spark.createDataFrame(nodes, "positive_weight int, node int, feature string, bin int, weight double")
+    return out.withColumn("weight", F.round("weight", 9))

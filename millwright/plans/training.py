@@ -15,10 +15,10 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import evaluate, explore, sampling
+from ..operators import boosting, evaluate, explore, sampling
 from ..operators.scoring import risk_rows
 from ..schemas import Family
-from ..session import written
+from ..session import exists, written
 
 # The searched settings of each learner, in listed order.
 DEEPEST = 30  # unlimited depth; the library accepts no more
@@ -50,8 +50,10 @@ SUBSAMPLES = (0.8, 1.0)
 LEARNERS = ("Random Forest", "XGBoost", "Gradient Boosting")
 SEED = 42
 # End of fixed values.
+BOOSTED = "boosted"
 
 Setting = dict[str, object]
+Model = PipelineModel | boosting.Boosted
 
 
 def settings(family: Family) -> dict[str, list[Setting]]:
@@ -102,11 +104,7 @@ def learner(name: str):
 
 
 def as_params(model, setting: Setting) -> dict:
-    """A named setting as parameters of the MLlib learner.
-
-    XGBoost is not part of Spark; its settings run on gradient-boosted trees, the
-    weight of the positive class as row weights.
-    """
+    """A named setting as parameters of the MLlib learner."""
     depth = setting["max_depth"]
     out = {
         model.maxDepth: DEEPEST if depth is None else depth,
@@ -129,6 +127,30 @@ def vector_stages(features: Sequence[str]) -> list:
     ]
 
 
+def as_lane(setting: Setting, fold: int | None = None) -> boosting.Lane:
+    """A setting of XGBoost; what isn't searched has that learner's own defaults."""
+    return boosting.Lane(
+        depth=setting["max_depth"],
+        trees=setting["n_estimators"],
+        rate=setting["learning_rate"],
+        positive_weight=setting.get("scale_pos_weight", 1),
+        without_fold=fold,
+    )
+
+
+def tune_boosted(train: DataFrame, family: Family, grid: Sequence[Setting], folds: int) -> tuple[boosting.Boosted, Setting]:
+    """Best setting by cross-validated F1 of failures. All settings and folds grow side by side over the same binned rows."""
+    parts = range(folds) if len(grid) > 1 else ()
+    lanes = [as_lane(s, k) for s in grid for k in parts] + [as_lane(s) for s in grid]
+    models = boosting.fit(train, family.feature_order, "failure", lanes, "fold")
+    if not parts:
+        return models[0], grid[0]
+    n = len(grid) * folds
+    scores = boosting.judged(train, "failure", "fold", lanes[:n], models[:n])
+    place = max(range(len(grid)), key=lambda i: sum(scores[i * folds : (i + 1) * folds]))
+    return models[n + place], grid[place]
+
+
 def f1_of_failures() -> MulticlassClassificationEvaluator:
     return MulticlassClassificationEvaluator(
         labelCol="failure", predictionCol="prediction", metricName="fMeasureByLabel", metricLabel=1.0
@@ -138,7 +160,7 @@ def f1_of_failures() -> MulticlassClassificationEvaluator:
 @dataclass
 class Trained:
     family: Family
-    models: dict[str, PipelineModel] = field(default_factory=dict)
+    models: dict[str, Model] = field(default_factory=dict)
     chosen: dict[str, Setting] = field(default_factory=dict)
     metrics: DataFrame | None = None
     best: str | None = None
@@ -146,8 +168,10 @@ class Trained:
 
 def tune(
     train: DataFrame, family: Family, name: str, grid: Sequence[Setting], folds: int, parallelism: int
-) -> tuple[PipelineModel, Setting]:
+) -> tuple[Model, Setting]:
     """Best setting by cross-validated F1 of failures, refitted on all training rows."""
+    if name == "XGBoost":
+        return tune_boosted(train, family, grid, folds)
     model = learner(name)
     stages = vector_stages(family.feature_order)
     if len(grid) == 1:
@@ -187,7 +211,7 @@ def train_family(
     return out
 
 
-def compare(test: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
+def compare(test: DataFrame, models: dict[str, Model]) -> DataFrame:
     """Hold-out metrics, one row per model."""
     judged = None
     for place, (name, model) in enumerate(models.items()):
@@ -198,16 +222,21 @@ def compare(test: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
     return evaluate.binary_metrics(judged, ["model", "place"], "failure", "prediction")
 
 
-def importances(spark: SparkSession, model: PipelineModel, features: Sequence[str], n: int) -> DataFrame:
+def importances(spark: SparkSession, model: Model, features: Sequence[str], n: int) -> DataFrame:
     """The model's largest feature importances by name."""
-    values = [float(v) for v in model.stages[-1].featureImportances.toArray()]
+    own = model.importances() if isinstance(model, boosting.Boosted) else model.stages[-1].featureImportances.toArray()
+    values = [float(v) for v in own]
     named = spark.createDataFrame(list(zip(features, values)), "feature string, importance double")
     return explore.top_features(named, n)
 
 
 def save(spark: SparkSession, trained: Trained, path: str) -> None:
     """Best model, its feature order and its metrics side by side."""
-    trained.models[trained.best].write().overwrite().save(f"{path}/model")
+    best = trained.models[trained.best]
+    if isinstance(best, boosting.Boosted):
+        spark.createDataFrame([(best.text(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{BOOSTED}")
+    else:
+        best.write().overwrite().save(f"{path}/model")
     order = [(i, c) for i, c in enumerate(trained.family.feature_order)]
     spark.createDataFrame(order, "place int, feature string").coalesce(1).write.mode("overwrite").json(f"{path}/features")
     details = trained.metrics.where(F.col("model") == trained.best).withColumn(
@@ -216,21 +245,26 @@ def save(spark: SparkSession, trained: Trained, path: str) -> None:
     details.write.mode("overwrite").json(f"{path}/metrics")
 
 
-def load(spark: SparkSession, path: str) -> tuple[PipelineModel, list[str]]:
+def load(spark: SparkSession, path: str) -> tuple[Model, list[str]]:
     """A saved model and its feature order (a short list)."""
     names = spark.read.schema("place int, feature string").json(f"{path}/features").orderBy("place").collect()
-    return PipelineModel.load(f"{path}/model"), [r["feature"].strip() for r in names]
+    if exists(spark, f"{path}/{BOOSTED}"):
+        model = boosting.Boosted.of_text(spark.read.text(f"{path}/{BOOSTED}").first()[0])
+    else:
+        model = PipelineModel.load(f"{path}/model")
+    return model, [r["feature"].strip() for r in names]
 
 
-def failure_probability(model: PipelineModel) -> Column:
+def failure_probability(model: Model) -> Column:
     """Probability of failure; null where a feature is unknown."""
     known = F.lit(True)
-    for name in model.stages[0].getInputCols():
+    boosted = isinstance(model, boosting.Boosted)
+    for name in model.features if boosted else model.stages[0].getInputCols():
         known = known & F.col(name).isNotNull()
-    return F.when(known, vector_to_array("probability")[1])
+    return F.when(known, F.col("failure_p") if boosted else vector_to_array("probability")[1])
 
 
-def score(model: PipelineModel, rows: DataFrame, at: Column, *keep: str) -> DataFrame:
+def score(model: Model, rows: DataFrame, at: Column, *keep: str) -> DataFrame:
     """Risk rows plus the model's own yes/no decision; incomplete rows have no risk."""
     p = failure_probability(model)
     scored = model.transform(rows).withColumn("failure_predicted", F.when(p.isNotNull(), F.col("prediction").cast("int")))
