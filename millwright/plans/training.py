@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -15,13 +15,12 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import boosting, evaluate, explore, sampling
+from ..operators import boosting, evaluate, explore, forest, sampling
 from ..operators.scoring import risk_rows
 from ..schemas import Family
 from ..session import exists, written
 
 # The searched settings of each learner, in listed order.
-DEEPEST = 30  # unlimited depth; the library accepts no more
 FOREST = {"n_estimators": (100, 200), "min_samples_split": (2, 5)}
 FOREST_DEPTHS = {
     "arm_robot": (None, 10, 20),
@@ -50,10 +49,11 @@ SUBSAMPLES = (0.8, 1.0)
 LEARNERS = ("Random Forest", "XGBoost", "Gradient Boosting")
 SEED = 42
 # End of fixed values.
-BOOSTED = "boosted"
+BOOSTED, FOREST_AT = "boosted", "forest"
 
 Setting = dict[str, object]
-Model = PipelineModel | boosting.Boosted
+Model = PipelineModel | boosting.Boosted | forest.Forest
+OWN = (boosting.Boosted, forest.Forest)
 
 
 def settings(family: Family) -> dict[str, list[Setting]]:
@@ -97,27 +97,15 @@ def with_weights(train: DataFrame) -> DataFrame:
     )
 
 
-def learner(name: str):
-    if name == "Random Forest":
-        return RandomForestClassifier(featuresCol="scaled", labelCol="failure", seed=SEED)
-    return GBTClassifier(featuresCol="scaled", labelCol="failure", seed=SEED)
-
-
-def as_params(model, setting: Setting) -> dict:
+def as_params(model: GBTClassifier, setting: Setting) -> dict:
     """A named setting as parameters of the MLlib learner."""
-    depth = setting["max_depth"]
-    out = {
-        model.maxDepth: DEEPEST if depth is None else depth,
+    return {
+        model.maxDepth: setting["max_depth"],
         model.weightCol: weight_column(setting),
+        model.maxIter: setting["n_estimators"],
+        model.stepSize: setting["learning_rate"],
+        model.subsamplingRate: setting.get("subsample", 1.0),
     }
-    if isinstance(model, RandomForestClassifier):
-        out[model.numTrees] = setting["n_estimators"]
-        out[model.minInstancesPerNode] = max(1, setting["min_samples_split"] // 2)
-    else:
-        out[model.maxIter] = setting["n_estimators"]
-        out[model.stepSize] = setting["learning_rate"]
-        out[model.subsamplingRate] = setting.get("subsample", 1.0)
-    return out
 
 
 def vector_stages(features: Sequence[str]) -> list:
@@ -138,17 +126,30 @@ def as_lane(setting: Setting, fold: int | None = None) -> boosting.Lane:
     )
 
 
-def tune_boosted(train: DataFrame, family: Family, grid: Sequence[Setting], folds: int) -> tuple[boosting.Boosted, Setting]:
-    """Best setting by cross-validated F1 of failures. All settings and folds grow side by side over the same binned rows."""
+def as_forest(setting: Setting, fold: int | None = None) -> forest.Lane:
+    return forest.Lane(
+        trees=setting["n_estimators"],
+        min_samples_split=setting["min_samples_split"],
+        depth=setting["max_depth"],
+        balanced=setting.get("class_weight") == "balanced",
+        without_fold=fold,
+    )
+
+
+def tune_side_by_side(train: DataFrame, family: Family, name: str, grid: Sequence[Setting], folds: int, keys: Sequence[str]) -> tuple[Model, Setting]:
+    """Best setting by cross-validated F1 of failures. All settings and folds grow together over the same binned rows."""
+    lane = as_lane if name == "XGBoost" else as_forest
     parts = range(folds) if len(grid) > 1 else ()
-    lanes = [as_lane(s, k) for s in grid for k in parts] + [as_lane(s) for s in grid]
-    models = boosting.fit(train, family.feature_order, "failure", lanes, "fold")
-    if not parts:
-        return models[0], grid[0]
-    n = len(grid) * folds
-    scores = boosting.judged(train, "failure", "fold", lanes[:n], models[:n])
+    judged = [lane(s, k) for s in grid for k in parts]
+    lanes = judged + [lane(s) for s in grid]
+    if name == "XGBoost":
+        models = boosting.fit(train, family.feature_order, "failure", lanes, "fold")
+        scores = boosting.judged(train, "failure", "fold", judged, models[: len(judged)]) if judged else []
+    else:
+        models = forest.fit(train, family.feature_order, "failure", lanes, keys, "fold")
+        scores = forest.judged(train, "failure", "fold", judged, models[: len(judged)]) if judged else []
     place = max(range(len(grid)), key=lambda i: sum(scores[i * folds : (i + 1) * folds]))
-    return models[n + place], grid[place]
+    return models[len(judged) + place], grid[place]
 
 
 def f1_of_failures() -> MulticlassClassificationEvaluator:
@@ -167,12 +168,12 @@ class Trained:
 
 
 def tune(
-    train: DataFrame, family: Family, name: str, grid: Sequence[Setting], folds: int, parallelism: int
+    train: DataFrame, family: Family, name: str, grid: Sequence[Setting], folds: int, parallelism: int, keys: Sequence[str]
 ) -> tuple[Model, Setting]:
     """Best setting by cross-validated F1 of failures, refitted on all training rows."""
-    if name == "XGBoost":
-        return tune_boosted(train, family, grid, folds)
-    model = learner(name)
+    if name != "Gradient Boosting":
+        return tune_side_by_side(train, family, name, grid, folds, keys)
+    model = GBTClassifier(featuresCol="scaled", labelCol="failure", seed=SEED)
     stages = vector_stages(family.feature_order)
     if len(grid) == 1:
         for param, value in as_params(model, grid[0]).items():
@@ -205,7 +206,7 @@ def train_family(
     train, test = written(with_weights(sided.where("is_train")), "train"), sided.where("not is_train")
     out = Trained(family)
     for name, grid in grids.items():
-        out.models[name], out.chosen[name] = tune(train, family, name, grid, folds, parallelism)
+        out.models[name], out.chosen[name] = tune(train, family, name, grid, folds, parallelism, keys)
     out.metrics = compare(test, out.models)
     out.best = evaluate.best_model(out.metrics, family.selection_metric).first()["model"]
     return out
@@ -224,7 +225,7 @@ def compare(test: DataFrame, models: dict[str, Model]) -> DataFrame:
 
 def importances(spark: SparkSession, model: Model, features: Sequence[str], n: int) -> DataFrame:
     """The model's largest feature importances by name."""
-    own = model.importances() if isinstance(model, boosting.Boosted) else model.stages[-1].featureImportances.toArray()
+    own = model.importances() if isinstance(model, OWN) else model.stages[-1].featureImportances.toArray()
     values = [float(v) for v in own]
     named = spark.createDataFrame(list(zip(features, values)), "feature string, importance double")
     return explore.top_features(named, n)
@@ -235,6 +236,9 @@ def save(spark: SparkSession, trained: Trained, path: str) -> None:
     best = trained.models[trained.best]
     if isinstance(best, boosting.Boosted):
         spark.createDataFrame([(best.text(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{BOOSTED}")
+    elif isinstance(best, forest.Forest):
+        spark.createDataFrame([(best.settings(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{FOREST_AT}")
+        best.nodes.write.mode("overwrite").parquet(f"{path}/nodes")
     else:
         best.write().overwrite().save(f"{path}/model")
     order = [(i, c) for i, c in enumerate(trained.family.feature_order)]
@@ -250,6 +254,8 @@ def load(spark: SparkSession, path: str) -> tuple[Model, list[str]]:
     names = spark.read.schema("place int, feature string").json(f"{path}/features").orderBy("place").collect()
     if exists(spark, f"{path}/{BOOSTED}"):
         model = boosting.Boosted.of_text(spark.read.text(f"{path}/{BOOSTED}").first()[0])
+    elif exists(spark, f"{path}/{FOREST_AT}"):
+        model = forest.Forest.of(spark.read.text(f"{path}/{FOREST_AT}").first()[0], spark.read.parquet(f"{path}/nodes"))
     else:
         model = PipelineModel.load(f"{path}/model")
     return model, [r["feature"].strip() for r in names]
@@ -258,10 +264,10 @@ def load(spark: SparkSession, path: str) -> tuple[Model, list[str]]:
 def failure_probability(model: Model) -> Column:
     """Probability of failure; null where a feature is unknown."""
     known = F.lit(True)
-    boosted = isinstance(model, boosting.Boosted)
-    for name in model.features if boosted else model.stages[0].getInputCols():
+    own = isinstance(model, OWN)
+    for name in model.features if own else model.stages[0].getInputCols():
         known = known & F.col(name).isNotNull()
-    return F.when(known, F.col("failure_p") if boosted else vector_to_array("probability")[1])
+    return F.when(known, F.col("failure_p") if own else vector_to_array("probability")[1])
 
 
 def score(model: Model, rows: DataFrame, at: Column, *keep: str) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millwright.operators import boosting
+from millwright.operators import boosting, forest
 
 FEATURES = ["a", "b", "c"]
 
@@ -91,3 +91,85 @@ def test_splits_come_from_one_aggregation(spark, rows):
     assert cells.agg(F.sum("n")).first()[0] == 3 * rows.count()
     rules = spark.createDataFrame([(0, 1.0, 1.0)], "lane int, l2 double, least_h double")
     assert boosting.best_splits(cells, rules).count() == 1
+
+
+def plain_forest(bins, y, w, tree, least, depth, look, seed=42):
+    """One tree, node by node, by the rules as they are stated."""
+    out = {}
+
+    def impurity(rows):
+        a, b = w[rows][y[rows] == 0].sum(), w[rows][y[rows] == 1].sum()
+        return (a + b) - (a * a + b * b) / (a + b) if a + b else 0.0
+
+    def split(name, rows):
+        best = None
+        if len(rows) >= least and len(set(y[rows])) == 2 and (depth is None or len(name) < depth):
+            order = sorted(range(bins.shape[1]), key=lambda f: (forest.draw(seed, tree, name, f), f))
+            for rank, f in enumerate(order):
+                if rank >= look and best is not None:
+                    break
+                for b in sorted(set(bins[rows, f]))[:-1]:
+                    left = bins[rows, f] <= b
+                    fall = impurity(rows) - impurity(rows[left]) - impurity(rows[~left])
+                    if best is None or fall > best[0] + 1e-9:
+                        best = fall, f, b
+        out[name] = (len(rows), -1 if best is None else best[1], 0 if best is None else best[2])
+        if best is not None:
+            left = bins[rows, best[1]] <= best[2]
+            split(name + "0", rows[left])
+            split(name + "1", rows[~left])
+
+    split("", np.arange(len(y)))
+    return out
+
+
+@pytest.mark.parametrize("small", [0, 40, 10_000])
+def test_trees_equal_plain_version(rows, small):
+    """Grown by aggregations alone, by both ways, and inside one task alone."""
+    lanes = [
+        forest.Lane(trees=1, min_samples_split=2 if small else 90, depth=None if small else 5, bootstrap=False),
+        forest.Lane(trees=2, min_samples_split=60, depth=4, bootstrap=False, without_fold=1),
+        forest.Lane(trees=1, min_samples_split=50, depth=3, bootstrap=False, balanced=True),
+    ]
+    edges = boosting.quantile_edges(rows, FEATURES, 12)
+    models = forest.fit(rows, FEATURES, "y", lanes, ["id"], "fold", edges, small=small)
+    held = rows.orderBy("id").collect()
+    bins = boosting.binned(np.array([[r[f] for f in FEATURES] for r in held]), edges).astype(int)
+    y, fold, tree = np.array([r["y"] for r in held]), np.array([r["fold"] for r in held]), 0
+    for lane, model in zip(lanes, models):
+        seen = fold != lane.without_fold if lane.without_fold is not None else np.ones(len(y), dtype=bool)
+        w = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum())) if lane.balanced else np.ones(len(y))
+        for _ in range(lane.trees):
+            got = {r["node"]: (r["rows"], r["feature"], r["bin"]) for r in model.nodes.where(F.col("tree") == tree).collect()}
+            assert got == plain_forest(bins[seen], y[seen], w[seen], tree, lane.min_samples_split, lane.depth, 1)
+            tree += 1
+
+
+def test_no_node_breaks_the_rule(rows):
+    lanes = [forest.Lane(trees=4, min_samples_split=20), forest.Lane(trees=4, min_samples_split=2)]
+    for lane, model in zip(lanes, forest.fit(rows, FEATURES, "y", lanes, ["id"], small=60)):
+        nodes = model.nodes.collect()
+        assert len({r["tree"] for r in nodes}) == 4
+        for r in nodes:
+            if r["feature"] >= 0:
+                assert r["rows"] >= lane.min_samples_split
+        # a leaf is pure, too small, or of rows that no feature tells apart
+        assert max(len(r["node"]) for r in nodes) > 6
+        left = [r for r in nodes if r["feature"] < 0 and r["rows"] >= lane.min_samples_split and r["w0"] > 0 and r["w1"] > 0]
+        assert sum(r["rows"] for r in left) < 0.02 * sum(r["rows"] for r in nodes if r["feature"] < 0)
+        scored = model.transform(rows)
+        assert scored.where(F.col("prediction") == F.col("y")).count() > 0.9 * rows.count()
+        shares = model.importances()
+        assert sum(shares) == pytest.approx(1.0) and shares[2] < min(shares[:2])
+
+
+def test_draws_with_replacement(rows):
+    model = forest.fit(rows, FEATURES, "y", [forest.Lane(trees=30, depth=0)], ["id"])[0]
+    roots = model.nodes.agg(F.avg("rows").alias("rows"), F.avg(F.col("w0") + F.col("w1")).alias("weight")).first()
+    assert roots["rows"] / rows.count() == pytest.approx(1 - np.exp(-1), abs=0.02)
+    assert roots["weight"] / rows.count() == pytest.approx(1, abs=0.03)
+
+
+def test_forest_of_no_rows(rows):
+    model = forest.fit(rows.limit(0), FEATURES, "y", [forest.Lane(trees=2)], ["id"])[0]
+    assert model.nodes.isEmpty()
