@@ -184,7 +184,7 @@ cut as (
     select rid, k, s, s + length(m) as e from place
     where case k when 0 then length(regexp_extract(m, '{assign}', 2)) >= 6
                  when 1 then length(m) >= 20 when 2 then length(m) >= 24
-                 when 5 then length(m) <= 90 and regexp_matches(m, '[0-9]') and regexp_matches(m, '[a-z]') and regexp_matches(m, '[A-Z]')
+                 when 5 then regexp_matches(m, '[0-9]') and regexp_matches(m, '[a-z]') and regexp_matches(m, '[A-Z]')
                  else true end
 ), link as (
     select distinct w.rid, w.k, w.s, w.e from span w join span o using (rid)
