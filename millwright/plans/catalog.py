@@ -77,6 +77,7 @@ SINGLE: dict[str, Query] = {
     "ml_score": model.score,
     "ml_boost_tree": model.first_trees,
     "st_score": stream.score,
+    "st_trained_model": stream.trained_model,
     "st_sensor_to_lake": stream.sensor_to_lake,
     "st_lake_to_upsert": stream.lake_to_upsert,
     "st_cdc_log": stream.cdc_log,

@@ -365,8 +365,10 @@ _SPLIT = (
 _FOLD = "case when rn > q then 5 else " + " + ".join(f"cast(rn > floor(q * {k} / 5) as int)" for k in range(1, 5)) + " end"
 
 
-def _first_trees(f: Family, weights: tuple[int, ...], bins: int = 16) -> str:
-    """The first two levels of splits by gradient and hessian sums, from a margin of zero, on bins of equal width."""
+def _first_trees(f: Family, weights: tuple[int, ...], bins: int = 16) -> tuple[str, str]:
+    """CTEs of the first two levels of splits by gradient and hessian sums, from a margin of zero, on bins of equal width;
+    and the bins of a row as SQL.
+    """
     above = ", ".join(
         f"list_sum(list_transform(range(1, {bins}), lambda k: cast({c}::double >= e.lo_{c} + (e.hi_{c} - e.lo_{c}) * k / {bins} as int)))"
         for c in f.readings
@@ -389,13 +391,36 @@ def _first_trees(f: Family, weights: tuple[int, ...], bins: int = 16) -> str:
             f"t{d} as (select w, node, any_value(gt) as g, any_value(ht) as h from u{d} where f = 1 group by all)",
             f"n{d + 1} as (select n.w, 2 * n.node + 1 + cast(n.b[s.f] > s.bin as int) as node, b, n.g, n.h from n{d} n join s{d} s using (w, node))",
         ]
+    return ", ".join(parts), f"[{above}]"
+
+
+def _tree_nodes(f: Family, weights: tuple[int, ...], rate: float) -> str:
     names = "[" + ", ".join(f"'{c}'" for c in f.readings) + "]"
-    rows = " union all ".join(
-        f"select t.w as positive_weight, t.node, {names}[s.f] as feature, cast(s.bin as int) as bin, round(-t.g / (t.h + 1) * 0.1, 9) as weight "
+    return _first_trees(f, weights)[0] + " " + " union all ".join(
+        f"select t.w as positive_weight, t.node, {names}[s.f] as feature, cast(s.bin as int) as bin, round(-t.g / (t.h + 1) * {rate}, 9) as weight "
         f"from t{d} t left join s{d} s using (w, node)"
         for d in range(3)
     )
-    return ", ".join(parts) + " " + rows
+
+
+def _trained_stream(f: Family) -> str:
+    """Events through the tree of their half: even ids by the first weight, odd ids by the second."""
+    trees, bins = _first_trees(f, (1, 5))
+    routed = f"select * from (with {_sensors(f, f'event_type in {_in(ROUTES[f.name])}')} select * from s)"
+    step = lambda d: (
+        f"p{d + 1} as (select p.*, case when s.f is null then p.node else 2 * p.node + 1 + cast(p.b[s.f] > s.bin as int) end as next from p{d} p left join s{d} s using (w, node))"
+    )
+    walk = (
+        f"z as (select *, case when event_id % 2 = 0 then 1 else 5 end as w, 0 as node, {bins} as b from ({routed}), e), p0 as (select * from z), "
+        f"{step(0)}, q1 as (select * exclude (node, next), next as node from p1), {step(1).replace('from p1 p', 'from q1 p')}, "
+        "q2 as (select * exclude (node, next), next as node from p2), "
+        "leaf as (select w, node, -g / (h + 1) as weight from t0 union all select w, node, -g / (h + 1) from t1 union all select w, node, -g / (h + 1) from t2), "
+        "r as (select *, 1.0::double / (1.0::double + exp(-weight)) as p from q2 join leaf using (w, node))"
+    )
+    return (
+        f"{trees}, {walk} select event_id, timestamp as prediction_timestamp, machine_id, machine_type, round_even(p, 3) as failure_probability, "
+        f"{RISK} as risk_level from r where {' and '.join(f'{c} is not null' for c in f.readings)}"
+    )
 
 
 def check_sql() -> dict[str, str]:
@@ -603,7 +628,8 @@ def check_sql() -> dict[str, str]:
         f"with {_SPLIT}, f as (select failure, {_FOLD} as fold from r) select failure, "
         "case when fold < 5 then 'train' else 'test' end as side, cast(nullif(fold, 5) as int) as fold, count(*) as rows from f group by all"
     )
-    out["ml_boost_tree"] = _first_trees(arm, (1, 3, 5))
+    out["ml_boost_tree"] = _tree_nodes(arm, (1, 3, 5), 0.1)
+    out["st_trained_model"] = _trained_stream(arm)
     out["st_score"] = _streamed()
     out["st_sensor_to_lake"] = out["q_sensor_flatten_arm_robot"]
     out["st_cdc_log"] = f"select *, substr(created_at, 1, 10) as date from ({out['q_cdc_classify']})"

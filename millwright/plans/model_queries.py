@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timefn import iso_text
-from ..operators import boosting, evaluate
+from ..operators import evaluate
 from ..schemas import FAMILIES
 from ..session import scratch_dir
-from . import training
+from . import serving, training
 from .explore_queries import complete
 from .sensor_queries import serving_prev, train_features
 
@@ -60,8 +60,7 @@ def first_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first boosted tree of each searched positive weight over all complete rows, node by node."""
     rows = complete(spark, sf_dir, ARM)
     features = list(ARM.readings)
-    lanes = [boosting.Lane(depth=2, trees=1, rate=0.1, positive_weight=w) for w in training.POSITIVE_WEIGHTS]
-    models = boosting.fit(rows, features, "failure", lanes, edges=boosting.width_edges(rows, features, 16))
+    models = serving.first_trees(rows, features, training.POSITIVE_WEIGHTS, 0.1)
     nodes, places = [], range(7)
     for w, model in zip(training.POSITIVE_WEIGHTS, models):
         tree = model.trees[0]

@@ -12,7 +12,8 @@ from ..sources import shapes
 from ..sources.files import run_day
 from ..sources.streams import table_stream
 from ..streaming import flows
-from . import jobs
+from . import jobs, serving
+from .explore_queries import complete
 from .sensor_queries import engineered_score, score_rows
 
 ARM = FAMILIES["arm_robot"]
@@ -46,6 +47,23 @@ def score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/predictions").drop("batch_id")
 
 
+def trained_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events scored by a saved model, the second half by a newer version that was published between two batches."""
+    out, checkpoint = _places(spark, "st-model")
+    models, source, features = f"{out}/models", f"{out}/source", list(ARM.readings)
+    events = shapes.table(spark, sf_dir, "events")
+    versions = serving.first_trees(complete(spark, sf_dir, ARM), features, (1, 5), 1.0)
+    for k, model in enumerate(versions):
+        serving.publish(spark, model, features, f"{models}/{ARM.name}")
+        events.where(F.pmod("event_id", F.lit(2)) == k).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        served = serving.Served(spark, models, out)
+        flows.score_stream(
+            shapes.topic_messages(stream), shapes.routed, served.probability, out, checkpoint, F.col("timestamp"), ("event_id",), served.transform, served.begin
+        )
+    return spark.read.parquet(f"{out}/predictions").drop("batch_id")
+
+
 def sensor_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = _places(spark, "st-lake")
     messages = shapes.sensor_messages(table_stream(spark, sf_dir, "events"), ARM)

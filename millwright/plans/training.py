@@ -231,18 +231,22 @@ def importances(spark: SparkSession, model: Model, features: Sequence[str], n: i
     return explore.top_features(named, n)
 
 
-def save(spark: SparkSession, trained: Trained, path: str) -> None:
-    """Best model, its feature order and its metrics side by side."""
-    best = trained.models[trained.best]
-    if isinstance(best, boosting.Boosted):
-        spark.createDataFrame([(best.text(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{BOOSTED}")
-    elif isinstance(best, forest.Forest):
-        spark.createDataFrame([(best.settings(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{FOREST_AT}")
-        best.nodes.write.mode("overwrite").parquet(f"{path}/nodes")
+def save_model(spark: SparkSession, model: Model, features: Sequence[str], path: str) -> None:
+    """A model and its feature order."""
+    if isinstance(model, boosting.Boosted):
+        spark.createDataFrame([(model.text(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{BOOSTED}")
+    elif isinstance(model, forest.Forest):
+        spark.createDataFrame([(model.settings(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{FOREST_AT}")
+        model.nodes.write.mode("overwrite").parquet(f"{path}/nodes")
     else:
-        best.write().overwrite().save(f"{path}/model")
-    order = [(i, c) for i, c in enumerate(trained.family.feature_order)]
+        model.write().overwrite().save(f"{path}/model")
+    order = list(enumerate(features))
     spark.createDataFrame(order, "place int, feature string").coalesce(1).write.mode("overwrite").json(f"{path}/features")
+
+
+def save(spark: SparkSession, trained: Trained, path: str) -> None:
+    """Best model, its feature order and its metrics side by side."""
+    save_model(spark, trained.models[trained.best], trained.family.feature_order, path)
     details = trained.metrics.where(F.col("model") == trained.best).withColumn(
         "best_params", F.lit(str(trained.chosen[trained.best]))
     )

@@ -80,3 +80,9 @@ def replace_folder(spark: SparkSession, source: str, target: str) -> None:
     store.mkdirs(there.getParent())
     if not store.rename(_path(spark, source)[1], there):
         raise OSError(f"{source} can't be moved to {target}")
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``; none where there is no such path."""
+    store, where = _path(spark, path)
+    return sorted(x.getPath().getName() for x in store.listStatus(where) if x.isDirectory()) if store.exists(where) else []

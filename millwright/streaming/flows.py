@@ -40,18 +40,21 @@ def score_stream(
     at: Column | None = None,
     keep: tuple[str, ...] = (),
     transform: Callable[[DataFrame, Family], DataFrame] | None = None,
+    begin: Callable[[int], None] | None = None,
 ) -> None:
     """Score every family's messages in one query, on the features a model is trained on; unusable messages go whole
     to ``rejects``.
 
     ``route`` picks the messages of a family. ``probability`` is a column over the feature frame, or over what
-    ``transform`` makes of it: for a trained model, its ``transform`` and ``training.failure_probability``. ``at`` is
-    the prediction time, by default the processing time.
+    ``transform`` makes of it; ``serving.Served`` has both for trained models, and ``begin``, which is called with the
+    number of each batch first. ``at`` is the prediction time, by default the processing time.
     """
     moment = timefn.iso_text(F.current_timestamp()) if at is None else at
 
     def work(batch: DataFrame, batch_id: int) -> None:
         good, bad = [], []
+        if begin:
+            begin(batch_id)
         for family in FAMILIES.values():
             mine = route(batch, family)
             rows = flatten.sensor_rows(mine, family, *keep, "value")

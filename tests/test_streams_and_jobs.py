@@ -387,3 +387,46 @@ def test_relational_sink_shapes_rows_and_retries(monkeypatch):
     monkeypatch.setattr(sinks.F, "col", lambda c: type("C", (), {"cast": lambda self, t: t})())
     sinks.jdbc_appender("jdbc:x", "sensor_data")(Rows(), 0)
     assert calls.count("jdbc") == 3 and ("batchsize", 200) in calls
+
+
+def test_stream_takes_up_a_new_model_and_equals_batch_scoring(spark, tmp_path):
+    """A forest, then a pipeline of the library; a batch run again keeps the version it was given."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import GBTClassifier
+
+    from millwright.operators import features, forest, scoring
+    from millwright.plans import serving, training
+    from millwright.sources import shapes
+
+    events = shapes.table(spark, "/root/testdata/sf0.001", "events")
+    order, keep = ARM_ROBOT.feature_order, ("event_id", "timestamp", "machine_id", "machine_type")
+    mine = shapes.routed(shapes.topic_messages(events), ARM_ROBOT)
+    framed = features.serving_features(flatten.sensor_rows(mine, ARM_ROBOT, "event_id"), ARM_ROBOT, *keep).cache()
+    known = framed.dropna().withColumn("failure", (F.col("event_id") % 3 == 0).cast("int"))
+    first = forest.fit(known, order, "failure", [forest.Lane(trees=3, depth=4)], ["event_id"])[0]
+    stages = [*training.vector_stages(order), GBTClassifier(featuresCol="scaled", labelCol="failure", maxIter=2, maxDepth=2)]
+    second = Pipeline(stages=stages).fit(known)
+    root, out, source = str(tmp_path / "models"), str(tmp_path / "out"), str(tmp_path / "in")
+    used = []
+    for k, model in enumerate((first, second)):
+        assert serving.publish(spark, model, order, f"{root}/arm_robot") == k + 1
+        os.makedirs(f"{root}/arm_robot/version={k + 5}")  # not whole: never taken up
+        events.where(F.col("event_id") % 2 == k).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        served = serving.Served(spark, root, out)
+        flows.score_stream(
+            shapes.topic_messages(stream), shapes.routed, served.probability, out, str(tmp_path / "checkpoint"), F.lit("now"), ("event_id",), served.transform, served.begin
+        )
+        used.append(served.loaded["arm_robot"][0])
+        again = serving.Served(spark, root, out)
+        again.begin(0)
+        assert again.loaded["arm_robot"][0] == 1
+    assert used == [1, 2]
+    got = spark.read.parquet(f"{out}/predictions").select("event_id", "failure_probability", "risk_level").collect()
+    want = []
+    for k, model in enumerate((first, second)):
+        half = framed.where(F.col("event_id") % 2 == k)
+        want += scoring.accepted(training.score(model, half, F.lit("now"), "event_id")).select("event_id", "failure_probability", "risk_level").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) == known.count()
+    others = spark.read.parquet(f"{out}/rejects").where("reason = 'no_score'")
+    assert others.count() > 0  # families without a model
