@@ -11,7 +11,7 @@ from ..functions import timefn
 from ..functions.numeric import ratio
 from ..schemas import CONTEXT_FEATURES, Family
 from .flatten import nested_or_flat
-from .previous import with_previous
+from .previous import Cut, with_previous
 
 
 def derived_columns(family: Family, training: bool = False) -> list[Column]:
@@ -85,7 +85,7 @@ def with_changes(df: DataFrame, family: Family, first_is_self: bool) -> DataFram
     return df.withColumns(columns).drop("previous")
 
 
-def training_features(history: DataFrame, family: Family, width: int, *keep: str) -> DataFrame:
+def training_features(history: DataFrame, family: Family, width: Cut, *keep: str) -> DataFrame:
     """Labelled feature rows; a row with any null in any column is dropped."""
     frame = with_derived(with_calendar(with_label(history)), family, training=True)
     looked_back = with_previous(
@@ -106,7 +106,7 @@ def serving_features(rows: DataFrame, family: Family, *keep: str, now: Column |
     return align(with_derived(frame, family), family.feature_order, *keep)
 
 
-def serving_history(rows: DataFrame, family: Family, width: int, *keep: str, seeds: DataFrame | None = None) -> DataFrame:
+def serving_history(rows: DataFrame, family: Family, width: Cut, *keep: str, seeds: DataFrame | None = None) -> DataFrame:
     """Features of readings with the machine's previous reading looked up."""
     frame = default_readings(nested_or_flat(rows, family), [*family.model_inputs, CONTEXT_FEATURES[0]])
     frame = with_derived(with_calendar(frame), family)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import evaluate, explore, features, sampling
 from ..schemas import FAMILIES, Family
 from ..sources import shapes
-from .sensor_queries import fixed_score, history_width
+from .sensor_queries import fixed_score, history_cut
 
 ARM = FAMILIES["arm_robot"]
 THRESHOLDS = {"at_30": 0.3, "at_50": 0.5, "at_70": 0.7}
@@ -21,7 +21,7 @@ def history(spark: SparkSession, sf_dir: str, family: Family = ARM) -> DataFrame
 def complete(spark: SparkSession, sf_dir: str, family: Family = ARM) -> DataFrame:
     """The rows that the trainers explore: with features and look back, and nothing missing."""
     rows = shapes.labelled_history(shapes.table(spark, sf_dir, "events"), family)
-    return features.training_features(rows, family, history_width(spark, sf_dir), "event_id", "status")
+    return features.training_features(rows, family, history_cut(spark, sf_dir), "event_id", "status")
 
 
 def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

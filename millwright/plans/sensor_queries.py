@@ -32,9 +32,10 @@ def family_rows(spark: SparkSession, sf_dir: str, family: Family) -> DataFrame:
     return flatten.sensor_rows(messages, family, "event_id", "event_type")
 
 
-def history_width(spark: SparkSession, sf_dir: str) -> int:
-    """Slice width of the look back, measured on two columns of the raw table."""
-    return previous.slice_micros(shapes.table(spark, sf_dir, "events"), "user_id", F.col("ts").cast("timestamp"))
+def history_cut(spark: SparkSession, sf_dir: str) -> previous.Cut:
+    """Slices of the busy machines' histories, measured on three columns of the raw table."""
+    events = shapes.table(spark, sf_dir, "events").select("event_id", "ts", F.concat(F.lit("M-"), F.col("user_id")).alias("machine_id"))
+    return previous.slices(events, "machine_id", F.col("ts"), ["event_id"])
 
 
 def sensor_flatten(spark: SparkSession, sf_dir: str, family: Family) -> DataFrame:
@@ -91,12 +92,12 @@ def serving_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def train_features(spark: SparkSession, sf_dir: str, family: Family) -> DataFrame:
     history = shapes.labelled_history(shapes.table(spark, sf_dir, "events"), family)
-    return features.training_features(history, family, history_width(spark, sf_dir), "event_id")
+    return features.training_features(history, family, history_cut(spark, sf_dir), "event_id")
 
 
 def serving_prev(spark: SparkSession, sf_dir: str, family: Family) -> DataFrame:
     rows = family_rows(spark, sf_dir, family)
-    return features.serving_history(rows, family, history_width(spark, sf_dir), "event_id")
+    return features.serving_history(rows, family, history_cut(spark, sf_dir), "event_id")
 
 
 def fixed_score(family: Family) -> Column:

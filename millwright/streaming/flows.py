@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import timefn
 from ..operators import changes, features, flatten, marts, quality, scoring, star
-from ..operators.previous import slice_micros
+from ..operators.previous import TARGET_ROWS, slices
 from ..schemas import FAMILIES, Family
 from .sinks import parquet_stream, run_to_end, write_batch
 
@@ -112,7 +112,7 @@ def current_counts(changed: DataFrame) -> DataFrame:
 
 
 def previous_stream(
-    rows: DataFrame, family: Family, out: str, checkpoint: str, *tie: str, target_rows: int | None = None
+    rows: DataFrame, family: Family, out: str, checkpoint: str, *tie: str, target_rows: int = TARGET_ROWS
 ) -> None:
     """Serving features with the previous reading carried across micro-batches.
 
@@ -125,10 +125,10 @@ def previous_stream(
 
     def work(batch: DataFrame, batch_id: int) -> None:
         ts = timefn.parse_ts(F.col("timestamp")).cast("timestamp")
-        width = slice_micros(batch, "machine_id", ts, **({"target_rows": target_rows} if target_rows else {}))
         latest = features.machine_seeds(batch, family, *tie)
         seeds = spark.read.schema(latest.schema).parquet(f"{state}/batch_id={batch_id - 1}") if batch_id else None
-        write_batch(features.serving_history(batch, family, width, *tie, seeds=seeds), f"{out}/rows", batch_id)
+        cut = slices(batch, "machine_id", ts, tie, target_rows, seeds)
+        write_batch(features.serving_history(batch, family, cut, *tie, seeds=seeds), f"{out}/rows", batch_id)
         known = latest if seeds is None else latest.unionByName(seeds)
         kept = known.groupBy("machine_id").agg(
             F.max_by(F.struct(*[c for c in latest.columns if c != "machine_id"]), F.struct("_at", *tie)).alias("r")

@@ -140,6 +140,30 @@ def test_previous_is_a_plain_lag_for_any_slice_width(spark, width):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
 
 
+@pytest.mark.parametrize(("target", "tie"), [(50, "id"), (7, "name"), (1, "id"), (5000, "id")])
+def test_slices_per_machine_hold_the_target(spark, target, tie):
+    """A busy machine, a burst at one instant, quiet machines, and rows without a time."""
+    rows = [(i, "busy", f"2025-01-{1 + i % 9:02d}T{i % 24:02d}:{i % 60:02d}:{(i * 7) % 60:02d}") for i in range(1200)]
+    rows += [(2000 + i, "burst", "2025-01-06T00:00:00") for i in range(300)] + [(2500 + i, "burst", "2025-01-06T00:00:01") for i in range(20)]
+    rows += [(3000 + i, f"quiet{i % 100}", f"2025-03-{1 + i % 28:02d}T00:00:00") for i in range(400)] + [(4000 + i, "busy", None) for i in range(30)]
+    rows = [(i, f"n{i:05d}", m, t, float(i)) for i, m, t in rows] + [(9, "n", None, "2025-01-01T00:00:00", 0.0)]
+    df = spark.createDataFrame(rows, "id int, name string, machine_id string, timestamp string, x double").repartition(4).cache()
+    ts = F.to_timestamp("timestamp")
+    cut = previous.slices(df, "machine_id", ts, [tie], target)
+    got = previous.with_previous(df, "machine_id", ts, [tie], ["x"], cut).select("id", F.col("previous.x").alias("p"))
+    plain = df.select("id", F.when(F.col("machine_id").isNotNull(), F.lag("x").over(Window.partitionBy("machine_id").orderBy("timestamp", tie))).alias("p"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    if cut is None:
+        assert target == 5000
+        return
+    sizes = previous._sliced(df.withColumn("_at", ts), "machine_id", cut, [tie]).where("machine_id is not null").groupBy("machine_id", "_slice").count().collect()
+    assert max(r["count"] for r in sizes) <= target
+    quiet = [r for r in sizes if r["machine_id"].startswith("quiet")]
+    if target >= 4:
+        assert len(quiet) == 100  # a quiet machine is never cut
+    assert cut.count() <= 40 + 500 // target
+
+
 def test_slices_shrink_for_a_busy_machine(spark):
     df = spark.range(10_000).select(F.lit("hot").alias("machine_id"), F.timestamp_seconds(F.col("id") / 10).alias("at"))
     assert previous.slice_micros(df, "machine_id", F.col("at"), target_rows=100) == previous.HOUR // 100
