@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from millwright.operators import sampling
+from millwright.plans import explore_queries
 
 QUERIES = entry.queries()
 
@@ -45,5 +47,13 @@ def test_look_back_shuffles_by_machine_and_slice(spark, sf_dir):
     assert lags and all("_slice" in line for line in lags)
 
 
-def test_split_needs_no_shuffle(spark, sf_dir):
-    assert "Exchange" not in plan(spark, sf_dir, "q_split")
+def test_plain_split_needs_no_shuffle(spark, sf_dir):
+    rows = explore_queries.history(spark, sf_dir).select("event_id", "failure")
+    train, _ = sampling.train_test(sampling.with_fold(rows, ["event_id"]), ["event_id"])
+    assert "Exchange" not in train._jdf.queryExecution().executedPlan().toString()
+
+
+def test_exact_split_moves_and_sorts_no_rows(spark, sf_dir):
+    """The cuts, a row per class, come to the rows."""
+    text = plan(spark, sf_dir, "q_split")
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "Window" not in text
