@@ -64,13 +64,14 @@ def slices(
     rows = df.select(F.col(key).alias("k"), *[c.alias(n) for n, c in _codes(df, ts, tie).items()])
     if seeds is not None:
         rows = rows.unionByName(seeds.select(F.col(key).alias("k"), *[c.alias(n) for n, c in _codes(seeds, F.col("_at"), tie).items()]))
-    rows = rows.where("k is not null").withColumn("day", F.floor(F.col("_m") / F.lit(DAY)))
+    rows = rows.where("k is not null")
+    if rows.groupBy("k").count().where(F.col("count") > target_rows).isEmpty():
+        return None
+    rows = rows.withColumn("day", F.floor(F.col("_m") / F.lit(DAY)))
     half = max(1, target_rows // 2)
     days = written(rows.groupBy("k", "day").agg(F.count("*").alias("n")), "days")
     busy = days.groupBy("k").agg(F.sum("n").alias("total")).where(F.col("total") > target_rows).select("k")
     days = written(days.join(busy, "k"), "busy-days")
-    if days.isEmpty():
-        return None
     low = F.lit(_LEAST)
     done = [days.where(F.col("n") <= half).select("k", "day", (F.col("day") * DAY).alias("m"), low.alias("t"), "n")]
     full = days.where(F.col("n") > half).select("k", "day")
