@@ -135,17 +135,17 @@ def with_previous(
 
     order = ["_at", *tie]
     carried = [*order, *columns]
-    last = rows.where(F.col(key).isNotNull()).groupBy(key, "_slice").agg(
-        F.max_by(F.struct(*carried), F.struct(*order)).alias("_last")
-    )
-    handed = (
-        last.withColumn("_slice", F.lead("_slice").over(Window.partitionBy(key).orderBy("_slice")))
-        .where(F.col("_slice").isNotNull())
-        .select(key, "_slice", *[F.col(f"_last.{c}").alias(c) for c in carried], F.lit(True).alias("_seed"))
-    )
+    if width is not None:
+        last = rows.where(F.col(key).isNotNull()).groupBy(key, "_slice").agg(
+            F.max_by(F.struct(*carried), F.struct(*order)).alias("_last")
+        )
+        handed = (
+            last.withColumn("_slice", F.lead("_slice").over(Window.partitionBy(key).orderBy("_slice")))
+            .where(F.col("_slice").isNotNull())
+            .select(key, "_slice", *[F.col(f"_last.{c}").alias(c) for c in carried], F.lit(True).alias("_seed"))
+        )
+        rows = rows.unionByName(handed, allowMissingColumns=True)
     window = Window.partitionBy(key, "_slice").orderBy(*[F.col(c).asc_nulls_first() for c in order])
     before = F.lag(F.struct(*columns)).over(window)
-    looked_back = rows.unionByName(handed, allowMissingColumns=True).withColumn(
-        "previous", F.when(F.col(key).isNotNull(), before)
-    )
+    looked_back = rows.withColumn("previous", F.when(F.col(key).isNotNull(), before))
     return looked_back.where(~F.col("_seed")).drop("_at", "_seed", "_slice")
