@@ -14,7 +14,7 @@ from millwright.sources import files
 #: A record of our own that breaks no rule: three services, four parts, one of them without a code.
 GOOD = {
     "service_record_id": "R1",
-    "dealer": {"dealer_id": "D1", "dealer_name": "North", "dealer_location": None},
+    "dealer": {"dealer_id": "D1", "dealer_name": "North", "dealer_location": "Dock 4"},
     "vehicle": {"vin": "V1", "model": "Delivery van", "year": 2017, "odometer_reading": 183402},
     "service_details": {
         "service_date": "2024-03-09T18:30:00Z",
