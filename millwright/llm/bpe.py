@@ -71,8 +71,10 @@ class Coder:
         for s, i in known.items():
             self.length[i] = len(s)
             self.shorter[i] = next((known[s[:n]] for n in range(len(s) - 1, 0, -1) if s[:n] in known), None)
+        self.whole = known
         self.automaton = ahocorasick.Automaton()
-        for s, i in known.items():
+        # the automaton looks through a state's letters in the order they came: those of frequent merges first
+        for s, i in sorted(known.items(), key=lambda entry: (entry[1] not in self.halves, entry[1])):
             self.automaton.add_word(s, (i, len(s)))
         self.automaton.make_automaton()
 
@@ -122,6 +124,9 @@ class Coder:
             return []
         n = len(word)
         text = word[:-1] + chr(ord(word[-1]) + _FINAL)
+        whole = self.whole.get(text)
+        if whole is not None:
+            return [whole]
         longest: list[int | None] = [None] * (n + 1)
         for end, (token, size) in self.automaton.iter(text):
             longest[end - size + 1] = token  # matches come by their end, so the last one of a start is the longest
@@ -167,7 +172,7 @@ class Coder:
     def _chunk(self, chunk: str) -> Code:
         code = self.chunks_before.get(chunk)
         if code is None:
-            words = self.words.findall(chunk)
+            words = (chunk,) if chunk.isalpha() else self.words.findall(chunk)
             ids = tuple(self._word(words[0]) if len(words) == 1 else [i for w in words for i in self._word(w)])
             code = ids, " ".join(map(str, ids)), self.decode(ids)
         if len(chunk) <= LONGEST_REMEMBERED:
@@ -215,10 +220,14 @@ def digests(docs: DataFrame, path: str, keys: tuple[str, ...] = ("doc_id",)) ->
     """``keys``, ``n_tokens`` and the SHA-256 of ids and decoded text, without sending either to the JVM."""
 
     def columns(codes: list[list]) -> list[pa.Array]:
-        n = [sum([len(c[0]) for c in row]) for row in codes]
-        ids = [hashlib.sha256(" ".join([c[1] for c in row]).encode()).hexdigest() for row in codes]
-        text = [hashlib.sha256(b" ".join([c[2] for c in row])).hexdigest() for row in codes]
-        return [pa.array(n, type=pa.int64()), pa.array(ids), pa.array(text)]
+        n, ids, texts = [], [], []
+        for row in codes:
+            _, spelt, decoded = zip(*row) if row else ((), (), ())
+            written = " ".join(spelt)
+            n.append(written.count(" ") + 1 if row else 0)
+            ids.append(hashlib.sha256(written.encode()).hexdigest())
+            texts.append(hashlib.sha256(b" ".join(decoded)).hexdigest())
+        return [pa.array(n, type=pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())]
 
     return _coded(docs, path, keys, ["n_tokens", "ids_sha256", "decoded_sha256"], "n_tokens bigint, ids_sha256 string, decoded_sha256 string", columns)
 
