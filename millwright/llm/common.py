@@ -42,23 +42,18 @@ def numbered(df: DataFrame, *columns: str) -> DataFrame:
     return place.join(F.broadcast(first), _FILE).select(*columns, (F.col(_FIRST) + F.col(ROW)).alias(ROW))
 
 
-def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut to about ``SLICE_BYTES`` of text each, so that memory follows one long text, not many."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        mean = max(1, batch.column(column).nbytes // batch.num_rows)
-        step = max(1, SLICE_BYTES // mean)
-        for start in range(0, batch.num_rows, step):
-            yield batch.slice(start, step)
+def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut by running bytes of a column of strings or lists: a slice holds ``limit`` bytes, or one value.
 
-
-def byte_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut by running bytes of a string column: a slice holds ``limit`` bytes or one text."""
+    Memory follows one long text, not many; where long texts stand together, each slice holds few of them.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
-        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64))
+        values = batch.column(column)
+        lists = pa.types.is_list(values.type) or pa.types.is_large_list(values.type)
+        sizes = pc.multiply(pc.list_value_length(values), 8) if lists else pc.binary_length(values)
+        ends = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False).astype(np.int64))
         start = 0
         while start < batch.num_rows:
             done = ends[start - 1] if start else 0

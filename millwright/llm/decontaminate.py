@@ -25,6 +25,7 @@ from millwright.session import written
 
 WINDOW, GRAM = 10, 5
 BITMAP_WORDS = 1 << 18  # of 64 bits: 2 MB, whatever the size of the benchmark
+SLICE = 1 << 20  # bytes of text whose words are hashed at once; the arrays take some 40 bytes for each
 
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _BYTES = np.arange(256)
@@ -92,7 +93,7 @@ def benchmark_windows(items: DataFrame) -> DataFrame:
     frame = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=SLICE):
             words, names = Words(utf8(batch.column("text"))), batch.column("item").to_pylist()
             rows = []
             for size in range(1, WINDOW + 1):
@@ -126,7 +127,7 @@ def _candidate_runs(docs: DataFrame, keys: tuple[str, ...], bitmap: np.ndarray,
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = sent.value
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, limit=SLICE):
             words = Words(utf8(batch.column("text")))
             runs: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             for size in sizes:
@@ -162,14 +163,8 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), start, add, lambda seen: seen["n"])
 
 
-def contamination(docs: DataFrame, items: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Per row of ``docs``: ``keys``, n_words, n_hit, spans (first word and size of windows hit) and items (sorted ids).
-
-    A word is hit if an occurrence of a benchmark window covers it. Every row gives one row, repeated rows too;
-    null or empty texts have no words; with an empty benchmark nothing is hit. Repeated items count once.
-    """
-    docs = with_row_id(docs) if ROW not in docs.columns else docs
-    out_keys, keys = keys, tuple(dict.fromkeys((*keys, ROW)))
+def _hits(docs: DataFrame, items: DataFrame, keys: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """All rows with ``keys`` and n_words, and ROW, spans and items of the rows that are hit."""
     tests = written(benchmark_windows(items), "test-windows")
     sizes = sorted({WINDOW, *(r[0] for r in tests.select("size").distinct().collect())})  # WINDOW values at most
     rows = written(_candidate_runs(docs, keys, _bitmap(tests.select("fp")), sizes), "runs")
@@ -191,10 +186,25 @@ def contamination(docs: DataFrame, items: DataFrame, keys: tuple[str, ...] = ("d
         F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("found_items")))).alias("items"),
     )
+    return rows.drop("runs"), per_row
+
+
+def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """ROW of the rows of ``docs``, numbered in ROW, in which a benchmark window occurs."""
+    return _hits(docs, items, (ROW,))[1].select(ROW)
+
+
+def contamination(docs: DataFrame, items: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Per row of ``docs``: ``keys``, n_words, n_hit, spans (first word and size of windows hit) and items (sorted ids).
+
+    A word is hit if an occurrence of a benchmark window covers it. Every row gives one row, repeated rows too;
+    null or empty texts have no words; with an empty benchmark nothing is hit. Repeated items count once.
+    """
+    docs = with_row_id(docs) if ROW not in docs.columns else docs
+    rows, per_row = _hits(docs, items, tuple(dict.fromkeys((*keys, ROW))))
     none = F.array().cast("array<struct<first:bigint,size:bigint>>"), F.array().cast("array<string>")
     return (
-        rows.drop("runs")
-        .join(per_row, ROW, "left")
+        rows.join(per_row, ROW, "left")
         .withColumns({"spans": F.coalesce("spans", none[0]), "items": F.coalesce("items", none[1])})
-        .select(*out_keys, "n_words", _covered(F.col("spans")).alias("n_hit"), "spans", "items")
+        .select(*keys, "n_words", _covered(F.col("spans")).alias("n_hit"), "spans", "items")
     )

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millwright.llm.bytelevel import as_bytes, byte_level
-from millwright.llm.common import arrow_type, byte_slices, field_ddl
+from millwright.llm.common import arrow_type, field_ddl, text_slices
 from millwright.session import written
 
 SIZE, END, SLACK = 2048, 0, 16  # a bin with at most SLACK free places is nearly full
@@ -81,7 +81,7 @@ def pieces(docs: DataFrame, path: str, keys: Sequence[str] = ("doc_id",), size:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = byte_level(source.value, True)
         held, n, first_bin = [], 0, TaskContext.get().partitionId() << 36
-        for batch in byte_slices(batches, "_text"):
+        for batch in text_slices(batches, "_text"):
             tokens = [as_bytes([*coder.ids(t), END]) for t in batch.column("_text").to_pylist()]
             length = np.array([len(t) // 4 for t in tokens], dtype=np.int64)
             head = (length - 1) % size + 1  # the first piece; the others are full

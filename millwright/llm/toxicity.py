@@ -204,24 +204,54 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[Voter
     return voters, weight, bias
 
 
-def score(docs: DataFrame, model: tuple[Voters, np.ndarray, float], keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+Model = tuple[Voters, np.ndarray, float]
+
+
+def _scores(docs: DataFrame, model: Model):
+    """A function from texts to scores for use in tasks; the model is broadcast."""
+    names, (_, weight, bias) = model[0].names, model
+    sent = docs.sparkSession.sparkContext.broadcast((names[len(PATTERNS) :], weight, bias))  # mined entries of the sample and the fixed ones
+
+    def begin():
+        entries, weight, bias = sent.value
+        voters = Voters(entries)
+
+        def scores(texts: pa.Array) -> np.ndarray:
+            logit = np.array([weight[voters.fired(t or "")].sum() + bias for t in texts.to_pylist()])
+            return 1 / (1 + np.exp(-np.clip(logit, -50, 50)))
+
+        return scores
+
+    return begin
+
+
+def score(docs: DataFrame, model: Model, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keys`` and ``score`` per row, from the whole text; a text without votes scores by the bias alone."""
     frame = docs.select(*keys, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     types = [arrow_type(frame, k) for k in keys]
-    names, (_, weight, bias) = model[0].names, model
-    sent = docs.sparkSession.sparkContext.broadcast((names[len(PATTERNS) :], weight, bias))  # MINED entries and the fixed ones
+    begin = _scores(docs, model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries, weight, bias = sent.value
-        voters = Voters(entries)
+        scores = begin()
         for batch in text_slices(batches):
-            logit = np.array([weight[voters.fired(t)].sum() + bias for t in batch.column("text").to_pylist()])
-            scores = 1 / (1 + np.exp(-np.clip(logit, -50, 50)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(k).cast(t) for k, t in zip(keys, types)), pa.array(scores)], names=[*keys, "score"])
+            columns = [*(batch.column(k).cast(t) for k, t in zip(keys, types)), pa.array(scores(batch.column("text")))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keys, "score"])
 
     return frame.mapInArrow(run, f"{field_ddl(frame, keys)}, score double")
 
 
+def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, that score below ``threshold``: one pass, without numbers or joins."""
+    begin = _scores(docs, model)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = begin()
+        for batch in text_slices(batches):
+            yield batch.filter(pa.array(scores(batch.column("text")) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted per row; one model fitted on a sample of ``labels.toxic``.
 
