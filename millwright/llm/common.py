@@ -62,6 +62,9 @@ def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit:
             start = stop
 
 
+byte_slices = text_slices
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8 bytes; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -77,7 +77,7 @@ def test_no_documents(spark, tables):
 
 def test_every_operator_is_registered():
     names = {q.split("_")[0] for q in entry.queries() if q.startswith("op")}
-    assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in entry.queries()
+    assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in entry.queries()
 
 
 def test_components_that_share_their_smallest_id_stay_apart(spark, tables):
