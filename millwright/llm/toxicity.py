@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from millwright.llm.common import arrow_type, field_ddl, text_slices
 from millwright.llm.labelled import labelled_sample, remainder
 
-FIT_ROWS, MINED, SIGNIFICANT, CLEAN, DEPTH = 12_000, 300, 20.0, 0.85, 3
+FIT_ROWS, SIGNIFICANT, CLEAN, DEPTH = 12_000, 20.0, 0.85, 3
 BEGINNINGS, LONGEST = (3, 4, 5, 6), 24
 MOD, HELD, THRESHOLD = 3, 1, 0.7
 
@@ -51,8 +51,11 @@ def _entries(word: str) -> Iterator[str]:
             yield word[:n] + "*"
 
 
-def mined(sample: DataFrame, base: float, most: int = MINED) -> list[str]:
-    """The ``most`` words and beginnings that point to toxic texts best, counted once a text."""
+def mined(sample: DataFrame, base: float) -> list[str]:
+    """All words and beginnings that point to toxic texts, counted once a text, the most telling first.
+
+    Only entries of some toxic texts of the sample can be significant, so the sample bounds their number.
+    """
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
@@ -72,7 +75,7 @@ def mined(sample: DataFrame, base: float, most: int = MINED) -> list[str]:
     counted = sample.select("text", "y").mapInArrow(count, "entry string, n bigint, t bigint")
     summed = counted.groupBy("entry").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).where("t > 0")
     good = summed.where((share >= CLEAN) & (ratio >= SIGNIFICANT)).withColumn("ratio", ratio)
-    return [r[0] for r in good.orderBy(F.desc("ratio"), "entry").limit(most).collect()]
+    return [r[0] for r in good.orderBy(F.desc("ratio"), "entry").collect()]
 
 
 class Voters:
@@ -103,8 +106,8 @@ class Voters:
         return sorted(out)
 
 
-def votes(sample: DataFrame, voters: Voters) -> tuple[np.ndarray, np.ndarray]:
-    """The vote matrix (texts by voters) and labels of the bounded sample, in the order of ids."""
+def votes(sample: DataFrame, voters: Voters) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The votes cast on the bounded sample (text and voter of each) and its labels, in the order of ids."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
@@ -114,28 +117,30 @@ def votes(sample: DataFrame, voters: Voters) -> tuple[np.ndarray, np.ndarray]:
 
     frame = sample.select(F.col("doc_id").cast("bigint"), "y", "text")
     got = frame.mapInArrow(run, "doc_id bigint, y int, v array<int>").toArrow().sort_by("doc_id")
-    matrix = np.zeros((got.num_rows, len(voters.names)), dtype=np.float32)
-    for row, fired in enumerate(got["v"].to_pylist()):  # as many rows as the sample
-        matrix[row, fired] = 1
-    return matrix, got["y"].to_numpy()
+    fired = got["v"].to_pylist()  # as many rows as the sample
+    text = np.repeat(np.arange(len(fired)), [len(f) for f in fired])
+    return text, np.array([v for f in fired for v in f], dtype=np.int64), got["y"].to_numpy()
 
 
-def needed(matrix: np.ndarray, y: np.ndarray, base: float, depth: int = DEPTH) -> list[int]:
-    """Columns chosen one by one, each the most telling on toxic rows that fewer than ``depth`` chosen ones have."""
-    toxic, clean = matrix[y == 1], matrix[y == 0].sum(0)
+def needed(text: np.ndarray, voter: np.ndarray, y: np.ndarray, voters: int, base: float, depth: int = DEPTH) -> list[int]:
+    """Voters chosen one by one, each the most telling on toxic texts that fewer than ``depth`` chosen ones have."""
+    clean = np.bincount(voter[y[text] == 0], minlength=voters)
+    on_toxic = y[text] == 1
+    text, voter = text[on_toxic], voter[on_toxic]
     chosen: list[int] = []
-    have = np.zeros(len(toxic))
+    have = np.zeros(len(y), dtype=np.int64)
     while True:
-        new = toxic[have < depth].sum(0)
+        new = np.bincount(voter[have[text] < depth], minlength=voters)
         share = new / np.maximum(new + clean, 1)
-        ratio = 2 * (new * np.log(np.maximum(share, 1e-9) / base) + np.where(clean > 0, clean * np.log(np.maximum(1 - share, 1e-9) / (1 - base)), 0))
+        rest = np.where(clean > 0, clean * np.log(np.maximum(1 - share, 1e-9) / (1 - base)), 0)
+        ratio = 2 * (new * np.log(np.maximum(share, 1e-9) / base) + rest)
         ratio[(share < CLEAN) | (new == 0)] = 0
         ratio[chosen] = 0
-        best = int(ratio.argmax()) if len(ratio) else 0
-        if not len(ratio) or ratio[best] < SIGNIFICANT:
+        best = int(ratio.argmax()) if voters else 0
+        if not voters or ratio[best] < SIGNIFICANT:
             return chosen
         chosen.append(best)
-        have += toxic[:, best]
+        have[text[voter == best]] += 1
 
 
 def label_model(matrix: np.ndarray, base: float, rounds: int = 12) -> tuple[np.ndarray, dict[str, np.ndarray]]:
@@ -195,10 +200,17 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[Voter
     n, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     base = (toxic + 1) / (n + 2)
     voters = Voters(mined(sample, base))
-    matrix, y = votes(sample, voters)
+    text, voter, y = votes(sample, voters)
     fixed = len(PATTERNS) + len(INSULTS)
-    kept = [*range(fixed), *(fixed + i for i in sorted(needed(matrix[:, fixed:], y, base)))]
-    voters, matrix = Voters([voters.names[i] for i in kept[len(PATTERNS) :]]), matrix[:, kept]
+    free = voter >= fixed
+    chosen = needed(text[free], voter[free] - fixed, y, len(voters.names) - fixed, base)
+    kept = np.array([*range(fixed), *(fixed + i for i in sorted(chosen))])
+    place = np.full(len(voters.names), -1)
+    place[kept] = np.arange(len(kept))
+    cast = place[voter] >= 0
+    matrix = np.zeros((len(y), len(kept)), dtype=np.float32)
+    matrix[text[cast], place[voter[cast]]] = 1
+    voters = Voters([voters.names[i] for i in kept[len(PATTERNS) :]])
     posterior, _ = label_model(matrix, base)
     weight, bias = linear(matrix, posterior)
     return voters, weight, bias
