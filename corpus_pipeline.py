@@ -13,16 +13,14 @@ from pyspark.sql import functions as F
 from millwright.llm import bpe, credentials, decontaminate, simhash, toxicity
 from millwright.llm.common import ROW, numbered, table
 from millwright.llm.queries import vocabulary_path
-from millwright.session import scratch_dir
+from millwright.session import scratch_dir, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier rejects go; the classifier is fitted on these documents and ``labels``."""
-    rows = numbered(docs)
-    scored = toxicity.score(rows, toxicity.fit(docs, table(spark, sf_dir, "labels")), (ROW,))
-    return rows.join(scored.where(F.col("score") >= toxicity.THRESHOLD), ROW, "left_anti").drop(ROW)
+    return toxicity.accepted(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,14 +32,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
     rows = numbered(docs)
-    found = decontaminate.contamination(rows, table(spark, sf_dir, "benchmark"), (ROW,))
-    return rows.join(found.where("n_hit > 0").select(ROW), ROW, "left_anti").drop(ROW)
+    # written, so that Spark knows its size when it plans the join: the documents are shuffled only if it is large
+    found = written(decontaminate.contaminated(rows, table(spark, sf_dir, "benchmark")), "contaminated")
+    return rows.join(found, ROW, "left_anti").drop(ROW)
 
 
 def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets and confirmed credential parts are masked in the text, and n_chars follows; no document goes."""
     rows = numbered(docs)
-    found = credentials.scan(rows, (ROW,)).where(F.size("spans") > 0).select(ROW, "spans")
+    found = written(credentials.scan(rows, (ROW,)).where(F.size("spans") > 0).select(ROW, "spans"), "secrets")
     masked = rows.join(found, ROW, "left").withColumn(
         "text", F.when(F.col("spans").isNotNull(), credentials.redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
     )
