@@ -15,7 +15,11 @@ def daily_risk_counts(predictions: DataFrame) -> DataFrame:
     return dated.groupBy(*RISK_KEYS).agg(F.count("*").alias("risk_count"))
 
 
+def summed_counts(counts: DataFrame) -> DataFrame:
+    """One row per key of counts that were taken of different rows."""
+    return counts.groupBy(*RISK_KEYS).agg(F.sum("risk_count").alias("risk_count"))
+
+
 def add_counts(stored: DataFrame, increment: DataFrame) -> DataFrame:
     """Fold newly counted rows into counts already stored."""
-    both = stored.select(*RISK_KEYS, "risk_count").unionByName(increment.select(*RISK_KEYS, "risk_count"))
-    return both.groupBy(*RISK_KEYS).agg(F.sum("risk_count").alias("risk_count"))
+    return summed_counts(stored.select(*RISK_KEYS, "risk_count").unionByName(increment.select(*RISK_KEYS, "risk_count")))

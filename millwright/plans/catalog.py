@@ -82,6 +82,7 @@ SINGLE: dict[str, Query] = {
     "st_lake_to_upsert": stream.lake_to_upsert,
     "st_cdc_log": stream.cdc_log,
     "st_risk_counts": stream.risk_counts,
+    "st_risk_tally": stream.risk_tally,
     "st_prev_state": stream.prev_state,
     "st_star": stream.star_rows,
 }

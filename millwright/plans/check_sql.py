@@ -637,6 +637,7 @@ def check_sql() -> dict[str, str]:
         "select substr(prediction_timestamp, 1, 10) as date, machine_type, machine_id, risk_level, count(*) as risk_count "
         f"from ({out['q_risk_class_arm_robot']}) where risk_level is not null group by 1, 2, 3, 4"
     )
+    out["st_risk_tally"] = out["st_risk_counts"]
     out["st_prev_state"] = out["q_serving_prev_arm_robot"]
     tables = {
         "fact_service_records": "q_star_fact",

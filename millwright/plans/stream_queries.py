@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +26,8 @@ def _places(spark: SparkSession, label: str) -> tuple[str, str]:
     return f"{root}/out", f"{root}/checkpoint"
 
 
-def _in_time_order(spark: SparkSession, sf_dir: str, batches: int = 3) -> DataFrame:
-    """The events as a stream of ``batches`` micro-batches, earlier events first, so that state crosses batches."""
+def _in_time_order(spark: SparkSession, sf_dir: str, batches: int = 3) -> Iterator[DataFrame]:
+    """The events as a stream that grows by a slice of time before each of ``batches`` runs, so that state crosses runs."""
     path = f"{scratch_dir(spark, 'events')}/in.parquet"
     events = shapes.table(spark, sf_dir, "events")
     at = F.unix_micros(F.col("ts").cast("timestamp"))
@@ -34,8 +36,8 @@ def _in_time_order(spark: SparkSession, sf_dir: str, batches: int = 3) -> DataFr
     place = F.least(F.lit(batches - 1), F.floor((at - low) * batches / (high - low + 1)))
     for k in range(batches):
         part = events.where(place == k) if k else events.where((place == 0) | place.isNull())
-        part.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        part.write.mode("append").parquet(path)
+        yield spark.readStream.schema(events.schema).parquet(path)
 
 
 def score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,18 +93,27 @@ def cdc_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def risk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = _places(spark, "st-counts")
-    rows = flatten.sensor_rows(shapes.sensor_messages(_in_time_order(spark, sf_dir), ARM), ARM)
-    predictions = score_rows(rows, ARM).where(F.col("risk_level").isNotNull())
-    flows.count_stream(predictions, out, checkpoint)
+    for events in _in_time_order(spark, sf_dir):
+        rows = flatten.sensor_rows(shapes.sensor_messages(events, ARM), ARM)
+        flows.count_stream(score_rows(rows, ARM).where(F.col("risk_level").isNotNull()), out, checkpoint)
     counts = flows.current_counts(spark.read.parquet(out))
     return counts.withColumn("date", F.col("date").cast("string"))
 
 
+def risk_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counts as increments, of which every two runs of batches are merged."""
+    out, checkpoint = _places(spark, "st-tally")
+    for events in _in_time_order(spark, sf_dir):
+        rows = flatten.sensor_rows(shapes.sensor_messages(events, ARM), ARM)
+        flows.tally_stream(score_rows(rows, ARM).where(F.col("risk_level").isNotNull()), out, checkpoint, fan=2)
+    return flows.tally(spark, out, fan=2).current().withColumn("date", F.col("date").cast("string"))
+
+
 def prev_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = _places(spark, "st-previous")
-    messages = shapes.sensor_messages(_in_time_order(spark, sf_dir), ARM)
-    rows = flatten.sensor_rows(messages, ARM, "event_id")
-    flows.previous_stream(rows, ARM, out, checkpoint, "event_id")
+    for events in _in_time_order(spark, sf_dir):
+        rows = flatten.sensor_rows(shapes.sensor_messages(events, ARM), ARM, "event_id")
+        flows.previous_stream(rows, ARM, out, checkpoint, "event_id", buckets=8)
     return spark.read.parquet(f"{out}/rows").drop("batch_id")
 
 

@@ -87,6 +87,17 @@ def documents(spark: SparkSession, root: str, day: date | None = None) -> DataFr
     return explode_documents(texts)
 
 
+def document_stream(spark: SparkSession, root: str, **options: str) -> DataFrame:
+    """New documents below ``root`` as they land: doc_id (file path) and value (the whole text), one row each.
+
+    ``maxFilesPerTrigger`` and ``maxBytesPerTrigger`` bound a batch.
+    """
+    reader = spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", "{*.json,part-*.txt}")
+    for name, value in options.items():
+        reader = reader.option(name, value)
+    return reader.text(root, wholetext=True).select(F.col("_metadata.file_path").alias("doc_id"), "value")
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Share the rows of a small input among all cores before costly row work.
 

@@ -5,20 +5,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import StructType
 
 from ..functions import timefn
 from ..operators import changes, features, flatten, marts, quality, scoring, star
 from ..operators.previous import TARGET_ROWS, slices
 from ..schemas import FAMILIES, Family
+from .runs import Runs
 from .sinks import parquet_stream, run_to_end, write_batch
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _each_batch(df: DataFrame, checkpoint: str, work: Callable[[DataFrame, int], None]) -> None:
+Run = Callable[[DataStreamWriter, str], None]  # how a query is run: sinks.run_to_end, or what sinks.at_interval gives
+STATE_BUCKETS = 64
+
+
+def _each_batch(df: DataFrame, checkpoint: str, work: Callable[[DataFrame, int], None], run: Run = run_to_end) -> None:
     """Run ``work`` on every micro-batch, reading its input once."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -28,7 +35,7 @@ def _each_batch(df: DataFrame, checkpoint: str, work: Callable[[DataFrame, int],
         finally:
             kept.unpersist()
 
-    run_to_end(df.writeStream.foreachBatch(step), checkpoint)
+    run(df.writeStream.foreachBatch(step), checkpoint)
 
 
 def score_stream(
@@ -41,6 +48,7 @@ def score_stream(
     keep: tuple[str, ...] = (),
     transform: Callable[[DataFrame, Family], DataFrame] | None = None,
     begin: Callable[[int], None] | None = None,
+    run: Run = run_to_end,
 ) -> None:
     """Score every family's messages in one query, on the features a model is trained on; unusable messages go whole
     to ``rejects``.
@@ -70,7 +78,7 @@ def score_stream(
             rejects = rejects.unionByName(more)
         write_batch(rejects, f"{out}/rejects", batch_id)
 
-    _each_batch(messages, checkpoint, work)
+    _each_batch(messages, checkpoint, work, run)
 
 
 def lake_stream(messages: DataFrame, family: Family, out: str, checkpoint: str, *keep: str) -> None:
@@ -111,31 +119,66 @@ def current_counts(changed: DataFrame) -> DataFrame:
     return changed.groupBy(*marts.RISK_KEYS).agg(F.max_by("risk_count", "batch_id").alias("risk_count"))
 
 
+def tally(spark: SparkSession, out: str, fan: int = 8) -> Runs:
+    """The daily risk counts that ``tally_stream`` keeps below ``out``."""
+    schema = StructType.fromDDL("date date, machine_type string, machine_id string, risk_level string, risk_count bigint")
+    return Runs(spark, out, schema, "date", marts.summed_counts, fan)
+
+
+def tally_stream(predictions: DataFrame, out: str, checkpoint: str, fan: int = 8, run: Run = run_to_end) -> None:
+    """Daily risk counts as increments: a batch writes the counts of its own rows only, and counts are merged by and by.
+
+    A read takes a few folders, whatever the number of batches, and no count is held in the stream.
+    """
+    counts = tally(predictions.sparkSession, out, fan)
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        counts.add(marts.daily_risk_counts(batch), batch_id)
+
+    run(predictions.writeStream.foreachBatch(work), checkpoint)
+
+
 def previous_stream(
-    rows: DataFrame, family: Family, out: str, checkpoint: str, *tie: str, target_rows: int = TARGET_ROWS
+    rows: DataFrame,
+    family: Family,
+    out: str,
+    checkpoint: str,
+    *tie: str,
+    target_rows: int = TARGET_ROWS,
+    buckets: int = STATE_BUCKETS,
+    run: Run = run_to_end,
 ) -> None:
     """Serving features with the previous reading carried across micro-batches.
 
-    State is a table with one row per machine, written per batch. Inside a batch
-    the look back runs over time slices, so a machine that fills a batch does not
-    end up in one task. An older reading never replaces a newer one in the state.
+    State is one row per machine, in buckets by machine: a batch writes the machines it has, and reads
+    the buckets of these. Inside a batch the look back runs over time slices, so a machine that fills a batch does
+    not end up in one task. An older reading never replaces a newer one in the state.
     """
     spark = rows.sparkSession
-    state = f"{out}/state"
+    carried = features.machine_seeds(spark.createDataFrame([], rows.schema), family, *tie).schema
+
+    def newest(states: DataFrame) -> DataFrame:
+        rest = [c for c in states.columns if c != "machine_id"]
+        one = states.groupBy("machine_id").agg(F.max_by(F.struct(*rest), F.struct("_at", *tie)).alias("r"))
+        return one.select("machine_id", "r.*")
+
+    state = Runs(spark, f"{out}/state", carried, "machine_id", newest, buckets=buckets)
 
     def work(batch: DataFrame, batch_id: int) -> None:
         ts = timefn.parse_ts(F.col("timestamp")).cast("timestamp")
         latest = features.machine_seeds(batch, family, *tie)
-        seeds = spark.read.schema(latest.schema).parquet(f"{state}/batch_id={batch_id - 1}") if batch_id else None
-        cut = slices(batch, "machine_id", ts, tie, target_rows, seeds)
-        write_batch(features.serving_history(batch, family, cut, *tie, seeds=seeds), f"{out}/rows", batch_id)
-        known = latest if seeds is None else latest.unionByName(seeds)
-        kept = known.groupBy("machine_id").agg(
-            F.max_by(F.struct(*[c for c in latest.columns if c != "machine_id"]), F.struct("_at", *tie)).alias("r")
-        )
-        write_batch(kept.select("machine_id", "r.*"), state, batch_id)
-
-    _each_batch(rows, checkpoint, work)
+        seeds = state.before(batch_id, latest)
+        if seeds is not None:
+            seeds = seeds.persist(StorageLevel.MEMORY_AND_DISK)  # one row per machine of the batch, read several times
+        try:
+            cut = slices(batch, "machine_id", ts, tie, target_rows, seeds)
+            write_batch(features.serving_history(batch, family, cut, *tie, seeds=seeds), f"{out}/rows", batch_id)
+            state.add(latest, batch_id)
+        finally:
+            if seeds is not None:
+                seeds.unpersist()
+
+    _each_batch(rows, checkpoint, work, run)
 
 
 def record_stream(records: DataFrame, out: str, checkpoint: str) -> None:
