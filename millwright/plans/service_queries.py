@@ -128,7 +128,7 @@ def ingest_to_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in (documents.where(early), documents.where(~early), documents.where(~early)):
         jobs.process_documents(part, f"{root}/out", buckets=1)
     counts = [
-        spark.read.parquet(f"{root}/out/{text.ANALYTICS}{name}").groupBy("date").agg(F.count("*").alias("rows")).withColumn("table", F.lit(name))
+        spark.read.schema("doc_id string, date string").parquet(f"{root}/out/{text.ANALYTICS}{name}").groupBy("date").agg(F.count("*").alias("rows")).withColumn("table", F.lit(name))
         for name in STAR_TABLES
     ]
     for name, folder in (("items", text.ITEMS), ("error", text.ERRORS)):
