@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.numeric import exact_text
 from ..schemas import SERVICE_RECORD
+from ..session import written
 
 NUMBER = "exact_number"  # the field that marks an exact number: its text
 
@@ -49,9 +51,16 @@ def item_rows(records: DataFrame, *keep: str) -> DataFrame:
 def last_record_per_key(records: DataFrame, key: str, *order: str) -> DataFrame:
     """A later put replaces an earlier one of the same key, so only the last text is kept.
 
-    Runs on raw texts, before the costly parse; readable texts only.
+    Runs on raw texts, before the costly parse; readable texts only. Texts are made once and neither sorted, compared
+    nor, while few of them are replaced, shuffled: keys are counted, and only those that occur again are ranked.
     """
-    keyed = records.withColumn("_key", F.get_json_object("raw", f"$.{key}")).where(F.col("_key").isNotNull())
-    # ranked on narrow rows; whole texts are neither sorted nor compared
-    last = keyed.groupBy("_key").agg(F.max(F.struct(*order)).alias("_last")).select("_key", *[F.col(f"_last.{o}").alias(o) for o in order])
-    return keyed.join(last, ["_key", *order], "left_semi").select(F.col("_key").alias(key), "raw")
+    found = records.withColumn("_key", F.get_json_object("raw", f"$.{key}"))
+    known = [F.col(c).isNotNull() for c in ("_key", *order)]
+    keyed = written(found.where(reduce(Column.__and__, known)).select("_key", *order, "raw"), "keyed")
+    narrow = keyed.select("_key", *order)
+    again = narrow.groupBy("_key").count().where(F.col("count") > 1).select("_key")
+    repeats = narrow.join(again, "_key", "left_semi")
+    last = repeats.groupBy("_key").agg(F.max(F.struct(*order)).alias("_last"))
+    replaced = repeats.join(last, "_key").where(F.struct(*order) != F.col("_last")).select("_key", *order)
+    kept = keyed.join(written(replaced, "replaced"), ["_key", *order], "left_anti")
+    return kept.select(F.col("_key").alias(key), "raw")

@@ -90,3 +90,11 @@ def test_a_null_document_keeps_its_vehicle_verdict(spark):
 def test_a_star_query_reads_its_texts_once(spark, tmp_path):
     assert "from_json" not in plan_of(service_queries.star_table(spark, small_tables(spark, tmp_path), "dim_dealer"))
     assert set(star.READS) == set(star.BUILDERS)
+
+
+def test_texts_are_not_shuffled_to_find_the_last_of_a_key(spark):
+    texts = ['{"k": "a", "v": 1}', '{"k": "a", "v": 2}', '{"k": "b", "v": 3}', '{"v": 4}']
+    rows = spark.createDataFrame([("d", i, t) for i, t in enumerate(texts)] + [(None, 9, '{"k": "c"}')], "doc_id string, pos long, raw string")
+    last = items.last_record_per_key(rows, "k", "doc_id", "pos")
+    assert "SortMergeJoin" not in plan_of(last)
+    assert sorted(tuple(r) for r in last.collect()) == [("a", texts[1]), ("b", texts[2])]
