@@ -11,6 +11,8 @@ from pyspark.errors import AnalysisException
 
 from ..schemas import Family
 
+PARTS_PER_SPLIT = 8
+
 
 class SourceUnreadable(Exception):
     """The input path does not exist or cannot be read."""
@@ -110,6 +112,19 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
+def enough_parts(df: DataFrame) -> int | None:
+    """Partitions in which a join of ``df`` sorts in memory, where the session's own number is too small; else None.
+
+    A split of a file is cut into ``PARTS_PER_SPLIT``. A session with as many shuffle partitions, and an input with a split
+    per core, are left to adaptive execution.
+    """
+    splits, cores = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
+    wanted = max(cores, PARTS_PER_SPLIT * splits)
+    if splits >= cores and int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) >= wanted:
+        return None
+    return wanted
+
+
 def explode_documents(texts: DataFrame) -> DataFrame:
     """(doc_id, value) documents to one row per record."""
     elements = F.from_json("value", "array<string>")
