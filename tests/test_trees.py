@@ -173,3 +173,27 @@ def test_draws_with_replacement(rows):
 def test_forest_of_no_rows(rows):
     model = forest.fit(rows.limit(0), FEATURES, "y", [forest.Lane(trees=2)], ["id"])[0]
     assert model.nodes.isEmpty()
+
+
+@pytest.mark.parametrize("group, cell_bytes", [(64, 64 << 20), (2, 1)])
+def test_forest_writes_no_row_per_tree(rows, monkeypatch, group, cell_bytes):
+    """Rows are written once per group of trees, not per tree, and a leaf's rows aren't dealt out; groups and passes don't matter."""
+    sizes, plain = [], forest.written
+    lanes = [forest.Lane(trees=3, depth=2), forest.Lane(trees=1, depth=2, balanced=True, without_fold=1)]
+    edges = boosting.quantile_edges(rows, FEATURES, 12)
+    expected = [sorted(map(tuple, m.nodes.collect())) for m in forest.fit(rows, FEATURES, "y", lanes, ["id"], "fold", edges, small=50)]
+
+    def counted(df, label):
+        out = plain(df, label)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(forest, "written", counted)
+    monkeypatch.setattr(forest, "GROUP", group)
+    monkeypatch.setattr(forest, "CELL_BYTES", cell_bytes)
+    models = forest.fit(rows, FEATURES, "y", lanes, ["id"], "fold", edges, small=50)
+    assert max(sizes) <= rows.count()
+    for want, model in zip(expected, models):
+        got = sorted(map(tuple, model.nodes.collect()))
+        assert [r[:5] for r in got] == [r[:5] for r in want]
+        assert np.allclose([r[5:] for r in got], [r[5:] for r in want])
