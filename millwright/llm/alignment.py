@@ -3,7 +3,8 @@
 A text with a space in front is tokenised whole by a byte-level vocabulary (A) and a sentencepiece model (B). Where
 tokens of both begin with a space at the same byte, the tokens before them end together, so a document can be cut there
 into windows of token ids. Windows repeat: equal (A ids, B ids) have equal alignments, which a worker works out once and
-remembers. Inside a window, byte offsets where tokens of both end bound the groups; all pairs of a group are links.
+remembers, many new ones at once. Inside a window, byte offsets where tokens of both end bound the groups; all
+pairs of a group are links.
 
 Link counts are kept small on the way. A slice of documents has one dictionary of its id pairs, each with the number of
 its documents that hold it; documents refer to dictionary places. Only dictionary entries are shuffled, to be summed over
@@ -19,7 +20,6 @@ from __future__ import annotations
 
 import hashlib
 from array import array
-from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
@@ -34,6 +34,7 @@ from millwright.llm.common import arrow_type, byte_slices, field_ddl
 from millwright.session import written
 
 REMEMBERED, MANY = 400_000, 64  # windows per worker; pairs of a group from which they are counted by distinct ids
+LEARNT = 50_000  # new windows aligned at once
 _FIGURES = ["n_a", "n_b", "n_groups", "n_links"]
 _SLICE = "chunk bigint, " + ", ".join(f"{c} bigint" for c in _FIGURES) + ", groups_sha256 string, links binary, times binary, pairs array<bigint>, docs array<bigint>"
 _OUT = ", ".join(f"{c} bigint" for c in [*_FIGURES, "n_best", "count_sum"]) + ", groups_sha256 string"
@@ -49,74 +50,97 @@ class Side:
         self.start = np.cumsum(self.length) - self.length
         self.blob = np.frombuffer(b"".join(texts), dtype=np.uint8)
         self.spaced = np.array([t[:1] == b" " for t in texts])
+        spelt = [b"%d," % i for i in range(size)]
+        self.spelt_length = np.array([len(t) for t in spelt], dtype=np.int64)
+        self.spelt_start = np.cumsum(self.spelt_length) - self.spelt_length
+        self.spelt = np.frombuffer(b"".join(spelt), dtype=np.uint8)
 
     def text(self, ids: np.ndarray) -> bytes:
         return gathered(self.blob, self.start[ids], self.length[ids]).tobytes()
 
 
-def groups(a: Sequence[int], b: Sequence[int], a_length: Sequence[int], b_length: Sequence[int]) -> list[tuple[list[int], list[int]]]:
-    """The ids between byte offsets where tokens of both sides end."""
-    out, i, j = [], 0, 0
-    while i < len(a):
-        first, second, ahead = i, j, a_length[i] - b_length[j]
-        i, j = i + 1, j + 1
-        while ahead:  # bytes by which side A is ahead of side B
-            if ahead < 0:
-                ahead, i = ahead + a_length[i], i + 1
-            else:
-                ahead, j = ahead - b_length[j], j + 1
-        out.append((list(a[first:i]), list(b[second:j])))
-    return out
-
-
 class Aligner:
     """Aligns windows of ids, each distinct one once; the memory is emptied between slices when it is full."""
 
     def __init__(self, source: str, model: bytes):
         self.a, self.b = byte_level(source, False), pieces(model)
         self.sides = Side(self.a.token_bytes), Side(self.b.token_bytes)
-        self.lengths = [s.length.tolist() for s in self.sides]
         self.forget()
 
     def forget(self) -> None:
         self.windows: dict[bytes, int] = {}
         self.pair_place: dict[int, int] = {}
-        self.texts: list[str] = []
+        self.texts: list[bytes] = []  # groups, each with a semicolon behind it
         self.n_groups, self.n_links, self.n_pairs = array("q"), array("q"), array("q")
         self.places, self.times = array("q"), array("q")  # of the windows' pairs, one after the other
 
-    def window(self, key: bytes) -> int:
-        """The number of a window given as A ids, -1, B ids."""
-        found = self.windows.get(key)
-        if found is not None:
-            return found
-        ids = array("i", key)
-        border = ids.index(-1)
-        a, b = ids[:border], ids[border + 1 :]
-        if len(a) == 1 == len(b):
-            found_groups = [(a, b)]
-        else:
-            found_groups = groups(a, b, [self.lengths[0][i] for i in a], [self.lengths[1][i] for i in b])
-        links: Counter[int] = Counter()
-        n = 0
-        for x, y in found_groups:
-            n += len(x) * len(y)
-            if len(x) * len(y) <= MANY:
-                links.update([p << 32 | q for p in x for q in y])
-            else:
-                right = Counter(y).items()
-                for p, k in Counter(x).items():
-                    for q, m in right:
-                        links[p << 32 | q] += k * m
-        for pair, m in links.items():
-            self.places.append(self.pair_place.setdefault(pair, len(self.pair_place)))
-            self.times.append(m)
-        self.n_pairs.append(len(links))
-        self.n_groups.append(len(found_groups))
-        self.n_links.append(n)
-        self.texts.append(";".join([f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in found_groups]))
-        self.windows[key] = len(self.texts) - 1
-        return len(self.texts) - 1
+    def learn(self, keys: list[bytes]) -> None:
+        """Align new windows, each given as A ids, -1, B ids; their numbers follow on."""
+        ids = np.frombuffer(b"".join(keys), dtype=np.int32).astype(np.int64)
+        owner = np.repeat(np.arange(len(keys)), [len(k) // 4 for k in keys])
+        border = np.flatnonzero(ids == -1)
+        in_a, in_b = np.arange(len(ids)) < border[owner], np.arange(len(ids)) > border[owner]
+        tokens, ends = [ids[in_a], ids[in_b]], []
+        for side, own in zip(self.sides, tokens):
+            ends.append(np.cumsum(side.length[own]))
+        # the sides of a window have as many bytes, so offsets agree over all windows
+        both = np.zeros(int(ends[0][-1]) + 1, dtype=bool)
+        both[ends[0]] = True
+        b_marks = np.zeros(len(both), dtype=bool)
+        b_marks[ends[1]] = True
+        both &= b_marks
+        last = [np.flatnonzero(both[e]) for e in ends]  # the last token of each group
+        size = [np.diff(x, prepend=-1) for x in last]
+        first = [x - n + 1 for x, n in zip(last, size)]
+        window = owner[in_a][last[0]]
+        per_window = np.flatnonzero(np.diff(window, prepend=-1))
+        n_links = size[0] * size[1]
+
+        few = np.flatnonzero(n_links <= MANY)
+        group = np.repeat(few, n_links[few])
+        rank = np.arange(len(group)) - np.repeat(np.cumsum(n_links[few]) - n_links[few], n_links[few])
+        p, q = tokens[0][first[0][group] + rank // size[1][group]], tokens[1][first[1][group] + rank % size[1][group]]
+        pair, times, holder = [p << 32 | q], [np.ones(len(p), dtype=np.int64)], [window[group]]
+        for g in np.flatnonzero(n_links > MANY).tolist():
+            (p, n), (q, m) = (np.unique(t[f[g] : x[g] + 1], return_counts=True) for t, f, x in zip(tokens, first, last))
+            pair.append((p[:, None] << 32 | q).ravel())
+            times.append((n[:, None] * m).ravel())
+            holder.append(np.full(len(pair[-1]), window[g]))
+        distinct, index = np.unique(np.concatenate(pair), return_inverse=True)
+        place = np.array([self.pair_place.setdefault(x, len(self.pair_place)) for x in distinct.tolist()], dtype=np.int64)
+        key = np.concatenate(holder) * len(distinct) + index
+        order = np.argsort(key, kind="stable")
+        begin = np.flatnonzero(np.diff(key[order], prepend=-1))
+        holder, index = np.divmod(key[order][begin], len(distinct))
+        self.places.frombytes(place[index].tobytes())
+        self.times.frombytes(np.add.reduceat(np.concatenate(times)[order], begin).tobytes())
+        self.n_pairs.frombytes(np.bincount(holder, minlength=len(keys)).astype(np.int64).tobytes())
+        self.n_groups.frombytes(np.diff(per_window, append=len(window)).astype(np.int64).tobytes())
+        self.n_links.frombytes(np.add.reduceat(n_links, per_window).tobytes())
+
+        # ids as text in the order of the output: a group's A ids, then its B ids
+        spelt, length = ([getattr(s, name)[t] for s, t in zip(self.sides, tokens)] for name in ("spelt_start", "spelt_length"))
+        ahead = np.cumsum(size[1]) - size[1], np.cumsum(size[0])  # tokens of the other side before those of a group
+        at = [np.repeat(x, n) + np.arange(len(t)) for x, n, t in zip(ahead, size, tokens)]
+        blob = np.concatenate([s.spelt for s in self.sides])
+        starts, lengths = (np.empty(len(at[0]) + len(at[1]), dtype=np.int64) for _ in "sl")
+        for k, shift in enumerate((0, len(self.sides[0].spelt))):
+            starts[at[k]], lengths[at[k]] = spelt[k] + shift, length[k]
+        text, upto = gathered(blob, starts, lengths), np.cumsum(lengths)
+        for k, mark in enumerate(b"|;"):
+            text[upto[at[k][last[k]]] - 1] = mark
+        raw = text.tobytes()
+        stops = upto[at[1][last[1][np.concatenate([per_window[1:], [len(window)]]) - 1]]].tolist()
+        number = len(self.texts)
+        self.texts += [raw[i:j] for i, j in zip([0, *stops], stops)]
+        self.windows.update(zip(keys, range(number, len(self.texts))))
+
+    def numbers(self, keys: list[bytes]) -> np.ndarray:
+        """The numbers of distinct windows."""
+        new = [k for k in keys if k not in self.windows]
+        for i in range(0, len(new), LEARNT):
+            self.learn(new[i : i + LEARNT])
+        return np.fromiter(map(self.windows.__getitem__, keys), dtype=np.int64, count=len(keys))
 
     def tokens(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """A and B ids per text, as native 32-bit numbers; empty where the joined tokens aren't the text."""
@@ -167,16 +191,16 @@ class Aligner:
             return [n_a, n_b, *figures, hashes, links, times, spelled], none, none
         a, b = (np.frombuffer(b"".join([c[k] for c in coded]), dtype=np.uint32).astype(np.int32) for k in (0, 1))
         wa, distinct, index = self.windows_of(a, b)
-        window = np.fromiter(map(self.window, distinct.tolist()), dtype=np.int64, count=len(distinct))[index]
+        window = self.numbers(distinct.tolist())[index]
         first = np.searchsorted(wa, (np.cumsum(n_a) - n_a)[full])  # the first window of each text with tokens
         for row, kind in zip(figures, (self.n_groups, self.n_links)):
             row[full] = np.add.reduceat(np.array(kind, dtype=np.int64)[window], first)
         numbers, ends = window.tolist(), [*first[1:].tolist(), len(window)]
         for k, p, q in zip(full.tolist(), first.tolist(), ends):
-            text = ";".join([self.texts[w] for w in numbers[p:q]])
-            hashes[k] = hashlib.sha256(text.encode()).hexdigest()
+            text = b"".join([self.texts[w] for w in numbers[p:q]])[:-1]
+            hashes[k] = hashlib.sha256(text).hexdigest()
             if with_groups:
-                spelled[k] = text
+                spelled[k] = text.decode()
         n_pairs = np.array(self.n_pairs, dtype=np.int64)
         count, start = n_pairs[window], (np.cumsum(n_pairs) - n_pairs)[window]
         place = gathered(np.array(self.places, dtype=np.int64), start, count)

@@ -204,6 +204,26 @@ def test_memory_of_windows_changes_no_result(spark):
         assert list(first[k]) == list(again[k]) == [x[k][0] for x in one_by_one]
 
 
+def test_new_windows_are_aligned_together(monkeypatch):
+    """A slice's new windows take a call for many, not one each, however they are cut; groups of many pairs are among them."""
+    with open(BYTES, encoding="utf-8") as a, open(PIECE, "rb") as b:
+        aligner = alignment.Aligner(a.read(), b.read())
+    texts = odd_texts(200) + ["x" * 700 + " 1234567 " * 50, "", "漢字" * 400]
+    calls, learn = [], aligner.learn
+    monkeypatch.setattr(aligner, "learn", lambda keys: (calls.append(len(keys)), learn(keys)))
+    first = aligner.align(texts, True)
+    assert len(calls) == 1 and calls[0] == len(aligner.windows) > 50
+    aligner.align(texts, True)
+    assert len(calls) == 1
+    aligner.forget()
+    monkeypatch.setattr(alignment, "LEARNT", 7)
+    again = aligner.align(texts, True)
+    assert len(calls) > 7
+    for k in (0, 1, 2, 3, 4, 7):
+        assert list(first[0][k]) == list(again[0][k])
+    assert dict(zip(first[1].tolist(), first[2].tolist())) == dict(zip(again[1].tolist(), again[2].tolist()))
+
+
 def test_alignment_of_odd_and_no_rows(spark):
     assert alignment.align(no_documents(spark), BYTES, PIECE).count() == 0
     empty = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
