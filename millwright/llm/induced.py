@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import numpy as np
 
+BLOCK = 128 << 10  # places compared at once
+
 
 def _induce(text: np.ndarray, is_s: np.ndarray, lms: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """All suffixes in order, from LMS positions in order (of suffixes, or of LMS substrings in the first round)."""
@@ -91,7 +93,7 @@ def _recursive(names: np.ndarray) -> np.ndarray:
         which = order[todo]
         following = which + width
         key = np.where(following < n, rank[np.minimum(following, n - 1)] + 1, 0)
-        again = np.lexsort((key, place[todo]))
+        again = np.argsort(place[todo] * (n + 1) + key)  # equal ones are told apart later
         order[todo] = which[again]
         # new ranks within groups: a change of the key starts one
         keys, group = key[again], place[todo]
@@ -134,14 +136,29 @@ def suffix_array(text: np.ndarray, alphabet: int) -> np.ndarray:
 def capped_prefixes(text: np.ndarray, array: np.ndarray, cap: int) -> np.ndarray:
     """Permuted common prefixes: per place, how far its suffix agrees with the one before it in order, ``cap`` at most."""
     n = len(text)
-    before = np.full(n, -1, dtype=np.int32)
-    before[array[1:]] = array[:-1]
+    bits = max(1, int(text.max(initial=0)).bit_length())
+    step = 63 // bits  # symbols compared at once
+    words = np.zeros(n + cap + step, dtype=np.int64)  # a place and those behind it, the first symbol in the lowest bits
+    for at in range(0, n, BLOCK):
+        for k in range(step):
+            part = text[at + k : at + k + BLOCK]
+            words[at : at + len(part)] |= part.astype(np.int64) << (bits * k)
     out = np.zeros(n, dtype=np.int32)
-    live = np.flatnonzero(before >= 0).astype(np.int32)
-    for length in range(cap):
-        live = live[(live + length < n) & (before[live] + length < n)]
-        live = live[text[live + length] == text[before[live] + length]]
-        if not len(live):
-            break
-        out[live] = length + 1
+    for at in range(0, n - 1, BLOCK):
+        part = array[at : at + BLOCK + 1]
+        room = np.minimum(n - np.maximum(part[1:], part[:-1]), cap).astype(np.int32)  # what stands behind the text doesn't count
+        found, live, wanted, held = room.copy(), np.arange(len(room)), slice(None), np.empty(len(part), dtype=np.int64)
+        for length in range(0, cap, step):
+            held[wanted] = words[part[wanted] + length]  # a suffix is read once, for both its neighbours
+            differ = held[live + 1] ^ held[live]
+            ended = np.flatnonzero(differ)
+            lowest = np.frexp((differ[ended] & -differ[ended]).astype(np.float64))[1] - 1
+            found[live[ended]] = np.minimum(length + lowest // bits, room[live[ended]])
+            live = live[(differ == 0) & (room[live] > length + step)]
+            if not len(live):
+                break
+            mark = np.zeros(len(part), dtype=bool)
+            mark[live] = mark[live + 1] = True
+            wanted = np.flatnonzero(mark)
+        out[part[1:]] = found
     return out

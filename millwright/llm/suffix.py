@@ -33,6 +33,7 @@ LENGTH, GRAM = 50, 16
 SHARD_BYTES = 4 << 20  # of text for each shard; its segments take about four times that
 SORTED_BYTES = 2 << 20  # of segments sorted at once
 _CHUNK = 4 << 20  # a longer text is read in overlapping chunks
+_BLOCK = 32 << 10  # bytes hashed at once, few enough for a processor's cache
 _PLACE = np.uint64((1 << 24) - 1)
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -42,14 +43,25 @@ _FIELDS = (("doc", np.int64), ("row", np.int64), ("start", np.int64), ("size", n
 
 def _anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per window start: order key and place of the anchor in one number; and the hash of the k-gram at each place."""
+    least, hashed = np.empty(max(0, len(data) - LENGTH + 1), dtype=np.uint64), np.empty(max(0, len(data) - GRAM + 1), dtype=np.uint64)
+    for at in range(0, len(data), _BLOCK):
+        part = _block_anchors(data[at : at + _BLOCK + LENGTH - 1], at)
+        for out, own in zip((least, hashed), part):
+            out[at : at + len(own)] = own
+    return least, hashed
+
+
+def _block_anchors(data: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
     x = data.astype(np.uint64) + np.uint64(1)
     width = 1
-    while width < GRAM:
+    while width < GRAM and len(x) > width:
         x = x[:-width] * np.uint64(pow(int(_BASE), width, 1 << 64)) + x[width:]
         width *= 2
+    if width < GRAM:
+        return x[:0], x[:0]
     hashed = (x ^ (x >> np.uint64(31))) * _MIX
     hashed ^= hashed >> np.uint64(29)
-    least = (hashed & ~_PLACE) | np.arange(len(hashed), dtype=np.uint64)
+    least = (hashed & ~_PLACE) | np.arange(first, first + len(hashed), dtype=np.uint64)
     reach, wanted = 1, LENGTH - GRAM + 1
     while reach < wanted:
         step = min(reach, wanted - reach)

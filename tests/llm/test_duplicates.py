@@ -191,3 +191,24 @@ def test_every_shared_window_has_its_fingerprint():
     first, fp = a.windows(10)
     other, found = b.windows(10)
     assert set(fp[50:66].tolist()) <= set(found.tolist()) and len(first) == 291 and len(other) == 23
+
+
+def test_prefixes_and_anchors_come_in_blocks(monkeypatch):
+    """Common prefixes and anchors are worked out a block at a time, with the results of plain versions."""
+    monkeypatch.setattr(induced, "BLOCK", 37)
+    rng = np.random.default_rng(3)
+    for n, alphabet in ((1, 2), (90, 1), (400, 3), (400, 257)):
+        text = np.tile(rng.integers(0, alphabet, -(-n // 2)), 2)[:n].astype(np.uint16)
+        array = induced.suffix_array(text, alphabet)
+        for cap in (1, 7, 50):
+            want = np.zeros(n, dtype=np.int32)
+            for a, b in zip(array[:-1].tolist(), array[1:].tolist()):
+                while want[b] < cap and max(a, b) + want[b] < n and text[a + want[b]] == text[b + want[b]]:
+                    want[b] += 1
+            assert induced.capped_prefixes(text, array, cap).tolist() == want.tolist()
+    data = rng.integers(97, 100, 1000).astype(np.uint8)
+    whole = suffix._anchors(data)
+    monkeypatch.setattr(suffix, "_BLOCK", 64)
+    for one, other in zip(whole, suffix._anchors(data)):
+        assert one.tolist() == other.tolist()
+    assert len(whole[0]) == 1000 - suffix.LENGTH + 1 and len(whole[1]) == 1000 - suffix.GRAM + 1
