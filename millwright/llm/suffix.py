@@ -8,9 +8,10 @@ A byte goes if a string of ``LENGTH`` bytes over it also starts in a document wi
    Of equal segments in one slice of documents only those of the smallest id take part; the others are repeats,
    whatever else is found. This keeps a very common passage to one segment a slice.
 2. Suffix arrays. Segments of shared anchors, with their bytes, go to the shards. A shard keeps one copy of equal
-   segments and sorts the rest by induced sorting, a bounded number of bytes at a time, whole anchors together. Permuted
-   common prefixes of ``LENGTH`` symbols or more join neighbours to classes of equal strings; the smallest id of each
-   class decides.
+   segments. A string of ``LENGTH`` bytes reaches ``SIDE`` bytes to the left or to the right of its anchor, so a segment
+   that agrees with none of another smallest id on either side has no string in common with one. The others are sorted
+   by induced sorting, a bounded number of bytes at a time, whole anchors together. Permuted common prefixes of ``LENGTH``
+   symbols or more join neighbours to classes of equal strings; the smallest id of each class decides.
 3. Repeated spans return to their documents, overlap is merged, and what is left is hashed.
 """
 
@@ -30,6 +31,7 @@ from millwright.llm.induced import capped_prefixes, suffix_array
 from millwright.session import written
 
 LENGTH, GRAM = 50, 16
+SIDE = -(-(LENGTH - GRAM) // 2)
 SHARD_BYTES = 4 << 20  # of text for each shard; its segments take about four times that
 SORTED_BYTES = 2 << 20  # of segments sorted at once
 _CHUNK = 4 << 20  # a longer text is read in overlapping chunks
@@ -39,6 +41,7 @@ _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _LAST = (1 << 63) - 1
 _FIELDS = (("doc", np.int64), ("row", np.int64), ("start", np.int64), ("size", np.uint8), ("check", np.uint32))
+_TEXT_FIELDS = (*_FIELDS, ("anchor", np.uint8))
 
 
 def _anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,44 +121,47 @@ def _pieces(texts: list[bytes]) -> Iterator[tuple[list[int], list[int], list[byt
 
 
 class _Segments:
-    """The segments of some texts: arrays doc, row, start and size in bytes, check and shard of the anchor."""
+    """The segments of some texts: arrays doc, row, start and size in bytes; check, shard and place (in the segment) of the anchor."""
 
     def __init__(self, doc: np.ndarray, row: np.ndarray, piece: tuple[list[int], list[int], list[bytes]], shards: int):
         number, offset, parts = piece
         self.data = np.frombuffer(b"".join(parts), dtype=np.uint8)
         sizes = np.array([len(p) for p in parts])
         begin = np.cumsum(sizes) - sizes
-        least, hashed = _anchors(self.data)
-        inside = np.ones(len(self.data), dtype=bool)  # windows that lie in one text
-        for k in range(1, LENGTH):
-            inside[begin + sizes - k] = False
-        at = np.flatnonzero(inside[: len(least)])
-        key = least[at]
-        fresh = np.concatenate([[True], key[1:] != key[:-1]])
-        self.first = at[fresh]
-        self.size = at[np.concatenate([fresh[1:], [True]])] - self.first + LENGTH
-        owner = np.searchsorted(begin, self.first, side="right") - 1
+        least, self.hashed = _anchors(self.data)
+        fresh = np.ones(len(least) + 1, dtype=bool)
+        fresh[1:-1] = least[1:] != least[:-1]
+        fresh[begin] = fresh[begin + sizes - LENGTH + 1] = True  # the first window of a text, and the first that lies in two
+        at = np.flatnonzero(fresh)
+        owner = np.searchsorted(begin, at[:-1], side="right") - 1
+        inside = at[:-1] + LENGTH <= (begin + sizes)[owner]
+        self.first, owner = at[:-1][inside], owner[inside]
+        self.size = np.diff(at)[inside] + LENGTH - 1
         self.text = np.array(number)[owner]
         self.doc, self.row = doc[self.text], row[self.text]
         self.start = self.first - begin[owner] + np.array(offset)[owner]
-        anchor = hashed[(key[fresh] & _PLACE).astype(np.int64)]
-        self.check = (anchor & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        self.shard = (anchor >> np.uint64(32)).astype(np.int64) % shards
+        place = (least[self.first] & _PLACE).astype(np.int64)
+        self.anchor, gram = place - self.first, self.hashed[place]
+        self.check = (gram & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        self.shard = (gram >> np.uint64(32)).astype(np.int64) % shards
 
     def keep(self, which: np.ndarray) -> None:
-        for name in ("first", "size", "text", "doc", "row", "start", "check", "shard"):
+        for name in ("first", "size", "text", "doc", "row", "start", "check", "shard", "anchor"):
             setattr(self, name, getattr(self, name)[which])
 
     def drop_repeats(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Leave out segments equal to one of a smaller id; their spans."""
         data, first, size = self.data, self.first, self.size
-        power, undo = (np.cumprod(np.concatenate([[1], np.full(len(data), b, dtype=np.uint64)]).astype(np.uint64)) for b in (_BASE, _INVERSE))
-        sums = np.concatenate([[0], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1])]).astype(np.uint64)
-        content = (sums[first + size] - sums[first]) * undo[first] + size.astype(np.uint64)
-        order = np.lexsort((self.doc, content))
-        group = np.concatenate([[True], content[order][1:] != content[order][:-1]])[: len(order)]
-        leader = np.empty(len(order), dtype=np.int64)
-        leader[order] = order[np.maximum.accumulate(np.where(group, np.arange(len(order)), 0))]
+        content = size.astype(np.uint64)
+        for k in range(0, 2 * LENGTH - GRAM, GRAM):  # grams over the longest segment
+            content = content * _BASE + self.hashed[first + np.minimum(k, size - GRAM)]
+        order = np.argsort(content)
+        equal = content[order][1:] == content[order][:-1]
+        some = order[np.concatenate([[False], equal]) | np.concatenate([equal, [False]])] if len(order) else order
+        some = some[np.lexsort((self.doc[some], content[some]))]
+        fresh = np.concatenate([[True], content[some][1:] != content[some][:-1]])[: len(some)]
+        leader = np.arange(len(first))
+        leader[some] = some[np.maximum.accumulate(np.where(fresh, np.arange(len(some)), 0))]
         later = np.flatnonzero((self.doc > self.doc[leader]) & (size == size[leader]))
         later = later[_equal(data, first[later], first[leader[later]], size[later])]
         spans = _merged(self.row[later], self.start[later], self.start[later] + size[later])
@@ -167,73 +173,112 @@ class _Segments:
         packer = zstandard.ZstdCompressor(level=3)
         order = np.argsort(self.shard, kind="stable")
         shard, size = self.shard[order], self.size[order]
-        place = np.cumsum(size) - size
-        text = self.data[np.repeat(self.first[order] - place, size) + np.arange(int(size.sum()))] if with_text else None
-        cuts = [*np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])[: len(shard)]).tolist(), len(shard)]
-        for a, b in zip(cuts, cuts[1:]):
-            columns = [getattr(self, name)[order[a:b]].astype(kind) for name, kind in _FIELDS]
+        cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]])) if len(shard) else np.zeros(1, dtype=np.int64)
+        columns = []
+        for name, kind in _TEXT_FIELDS if with_text else _FIELDS:
+            values = getattr(self, name)[order].astype(kind)
             # ids and places come in order: differences are small and pack well
-            raw = [np.int64(b - a).tobytes(), *(np.diff(c, prepend=c.dtype.type(0)).tobytes() for c in columns)]
+            steps = values.copy()
+            steps[1:] -= values[:-1]
+            steps[cuts[:-1]] = values[cuts[:-1]]
+            columns.append(steps)
+        if with_text:
+            longest = int(size.max(initial=LENGTH))
+            held = np.concatenate([self.data, np.zeros(longest, dtype=np.uint8)])
+            text = np.lib.stride_tricks.sliding_window_view(held, longest)[self.first[order]][np.arange(longest) < size[:, None]]
+            place = np.concatenate([[0], np.cumsum(size)])
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            raw = [np.int64(b - a).tobytes(), *(c[a:b].tobytes() for c in columns)]
             if with_text:
-                raw.append(text[int(place[a]) : int(place[b - 1] + size[b - 1])].tobytes())
+                raw.append(text[place[a] : place[b]].tobytes())
             yield int(shard[a]), packer.compress(b"".join(raw))
 
 
-def _unpacked(payloads: list[bytes]) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    fields: dict[str, list[np.ndarray]] = {name: [] for name, _ in _FIELDS}
+def _unpacked(payloads: list[bytes], kinds: tuple[tuple[str, type], ...] = _FIELDS) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    fields: dict[str, list[np.ndarray]] = {name: [] for name, _ in kinds}
     texts = []
     for raw in map(zstandard.ZstdDecompressor().decompress, payloads):
         n, at = int(np.frombuffer(raw, np.int64, 1)[0]), 8
-        for name, kind in _FIELDS:
+        for name, kind in kinds:
             fields[name].append(np.cumsum(np.frombuffer(raw, kind, n, at), dtype=kind))
             at += n * np.dtype(kind).itemsize
         texts.append(np.frombuffer(raw, np.uint8, offset=at))
     return {k: np.concatenate(v) for k, v in fields.items()}, np.concatenate(texts)
 
 
-def _by_anchor(seg: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Order by anchor; first place and size of each anchor's group in it; whether several documents have the anchor."""
-    order = np.lexsort((seg["doc"], seg["check"]))
-    check, doc = seg["check"][order], seg["doc"][order]
-    head = np.flatnonzero(np.concatenate([[True], check[1:] != check[:-1]]))
-    many = np.concatenate([head[1:], [len(check)]]) - head
+def _grouped(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order by key; first place and size of each key's group in it; whether several documents have the key."""
+    order = np.lexsort((doc, key))
+    key, doc = key[order], doc[order]
+    head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+    many = np.concatenate([head[1:], [len(key)]])[: len(head)] - head
     return order, head, many, doc[head] != doc[head + many - 1]
 
 
 def shared_anchors(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(row, start) of a shard's segments whose anchor stands in several documents, in order of rows."""
     seg, _ = _unpacked(payloads)
-    order, _, many, shared = _by_anchor(seg)
+    order, _, many, shared = _grouped(seg["check"], seg["doc"])
     members = order[np.repeat(shared, many)]
     members = members[np.lexsort((seg["start"][members], seg["row"][members]))]
     return seg["row"][members], seg["start"][members]
 
 
+def _related(data: np.ndarray, begin: np.ndarray, size: np.ndarray, anchor: np.ndarray, check: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Whether a segment of ``data`` agrees on ``SIDE`` bytes beside its anchor with one of another smallest id; no hash decides more."""
+    out = np.zeros(len(begin), dtype=bool)
+    for at, inside in ((anchor - SIDE, anchor >= SIDE), (anchor + GRAM, anchor + GRAM + SIDE <= size)):
+        own = np.flatnonzero(inside)
+        at, key = (begin + at)[own], check[own].astype(np.uint64)
+        for k in range(SIDE):
+            key = key * _BASE + data[at + k]
+        order, _, many, shared = _grouped(key, least[own])
+        out[own[order[np.repeat(shared, many)]]] = True
+    return out
+
+
 def shard_repeats(payloads: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row, start, end) of the spans in a shard's segments that repeat strings of smaller ids."""
-    seg, text = _unpacked(payloads)
-    size = seg["size"].astype(np.int64)
+    seg, text = _unpacked(payloads, _TEXT_FIELDS)
+    size, anchor = (seg[k].astype(np.int64) for k in ("size", "anchor"))
     place = np.cumsum(size) - size
-    order, head, many, shared = _by_anchor(seg)
+    order, head, many, shared = _grouped(seg["check"], seg["doc"])
     raw = text.tobytes()
     # whole anchors, about SORTED_BYTES of text at a time
     upto = np.cumsum(np.add.reduceat(size[order], head) * shared) // SORTED_BYTES
+    held: list[tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []  # to be sorted together
+    waiting = 0
     for load in np.unique(upto[shared]).tolist():
-        chosen = shared & (upto == load)
-        members = order[np.repeat(chosen, many)]
-        yield from _sorted_repeats(raw, members, place[members], size[members], seg["doc"][members], seg["row"][members], seg["start"][members])
-
+        members = order[np.repeat(shared & (upto == load), many)]
+        doc, row, start = (seg[k][members] for k in ("doc", "row", "start"))
+        number: dict[bytes, int] = {}
+        content = np.array([number.setdefault(raw[a : a + n], len(number)) for a, n in zip(place[members].tolist(), size[members].tolist())])
+        least = np.full(len(number), _LAST, dtype=np.int64)
+        np.minimum.at(least, content, doc)
+        later = doc > least[content]
+        if later.any():
+            yield row[later], start[later], start[later] + size[members[later]]
+        one = np.empty(len(number), dtype=np.int64)
+        one[content] = members  # any of the equal ones
+        kept = _related(text, place[one], size[one], anchor[one], seg["check"][one], least)
+        holders = np.flatnonzero(~later & kept[content])
+        if len(holders):
+            texts = [raw[a : a + n] for a, n in zip(place[one[kept]].tolist(), size[one[kept]].tolist())]
+            held.append((texts, least[kept], (np.cumsum(kept) - 1)[content[holders]], row[holders], start[holders]))
+            waiting += sum(map(len, texts))
+        if waiting >= SORTED_BYTES:
+            yield from _sorted_repeats(held)
+            held, waiting = [], 0
+    if held:
+        yield from _sorted_repeats(held)
 
-def _sorted_repeats(raw, members, place, size, doc, row, start) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    number: dict[bytes, int] = {}
-    content = np.array([number.setdefault(raw[a : a + n], len(number)) for a, n in zip(place.tolist(), size.tolist())])
-    least = np.full(len(number), _LAST, dtype=np.int64)
-    np.minimum.at(least, content, doc)
-    later = doc > least[content]
-    if later.any():
-        yield row[later], start[later], start[later] + size[later]
 
-    texts = list(number)
+def _sorted_repeats(held: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Spans of different texts, with the smallest id of each, and of the segments that hold them: text, row and start."""
+    texts = [t for h in held for t in h[0]]
+    above = np.cumsum([0, *(len(h[0]) for h in held)])
+    content = np.concatenate([h[2] + a for h, a in zip(held, above.tolist())])
+    least, row, start = (np.concatenate([h[k] for h in held]) for k in (1, 3, 4))
     lengths = np.array([len(t) for t in texts])
     symbols = np.frombuffer(b"\0".join([*texts, b""]), dtype=np.uint8).astype(np.uint16) + 1
     begin = np.cumsum(lengths + 1) - (lengths + 1)
@@ -254,8 +299,7 @@ def _sorted_repeats(raw, members, place, size, doc, row, start) -> Iterator[tupl
     first, last = at[fresh], at[np.concatenate([fresh[1:], [True]])]
     which = owner[first]
     # each span counts for all segments of that content and the content's smallest id
-    holders = np.flatnonzero(~later)
-    holders = holders[np.argsort(content[holders], kind="stable")]
+    holders = np.argsort(content, kind="stable")
     low = np.searchsorted(content[holders], which, side="left")
     times = np.searchsorted(content[holders], which, side="right") - low
     span = np.repeat(np.arange(len(which)), times)

@@ -212,3 +212,39 @@ def test_prefixes_and_anchors_come_in_blocks(monkeypatch):
     for one, other in zip(whole, suffix._anchors(data)):
         assert one.tolist() == other.tolist()
     assert len(whole[0]) == 1000 - suffix.LENGTH + 1 and len(whole[1]) == 1000 - suffix.GRAM + 1
+
+
+def segments_of(rows):
+    """The segments of one slice of (doc_id, text), all of one shard."""
+    doc, row = np.array([d for d, _ in rows]), np.arange(len(rows))
+    (piece,) = suffix._pieces([t for _, t in rows])
+    return suffix._Segments(doc, row, piece, 1)
+
+
+def test_equal_segments_of_a_slice_take_part_once():
+    """Of equal segments of one slice only those of the smallest id go on, wherever they stand in it."""
+    rng = random.Random(8)
+    passage = rng.randbytes(300)
+    rows = [(rng.randint(0, 20), rng.randbytes(2000) + passage + rng.randbytes(rng.randint(0, 90))) for _ in range(40)]
+    found = segments_of(rows)
+    raw, least = found.data.tobytes(), {}
+    each = [(raw[a : a + n], d, a) for a, n, d in zip(found.first.tolist(), found.size.tolist(), found.doc.tolist())]
+    for text, d, _ in each:
+        least[text] = min(d, least.get(text, d))
+    found.drop_repeats()
+    assert found.first.tolist() == [a for text, d, a in each if d == least[text]]
+    assert len(found.first) < len(each) - 100
+
+
+def test_only_segments_that_agree_beside_their_anchor_are_sorted(monkeypatch):
+    """A common phrase too short to be a repeat is not sorted with its surroundings; repeats beside it are found."""
+    rng = random.Random(9)
+    phrase, passage, sizes = rng.randbytes(30), rng.randbytes(75), []
+    plain = suffix.suffix_array
+    monkeypatch.setattr(suffix, "suffix_array", lambda symbols, alphabet: sizes.append(len(symbols)) or plain(symbols, alphabet))
+    rows = [(d, rng.randbytes(60) + phrase + rng.randbytes(60)) for d in range(60)]
+    assert not list(suffix.shard_repeats([p for _, p in segments_of(rows).packed(True)])) and not sizes
+    rows += [(d, rng.randbytes(60) + passage[k : k + 60] + rng.randbytes(60)) for d, k in ((100, 0), (101, 7), (102, 15))]
+    (spans,) = [suffix._merged(*map(np.concatenate, zip(*suffix.shard_repeats([p for _, p in segments_of(rows).packed(True)]))))]
+    assert list(zip(*(v.tolist() for v in spans))) == [(61, 60, 113), (62, 60, 112)]
+    assert 0 < sum(sizes) < 3000
