@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from millwright.functions.timefn import iso_text
 from millwright.operators import evaluate, explore, previous, sampling
 from millwright.operators import features as feats
-from millwright.plans import training
+from millwright.plans import sensor_queries, training
 from millwright.schemas import ARM_ROBOT, BATTERY_ASSEMBLY, CNC_MACHINE, FAMILIES, INJECTION_MOLDING
 
 
@@ -193,6 +193,23 @@ def test_train_choose_save_load_score(spark, labelled, tmp_path):
     assert scored.where("event_id > 10 and (risk_level is null or failure_predicted is null)").isEmpty()
 
 
+def test_training_rows_are_worked_out_once(spark, sf_dir, monkeypatch):
+    """The split reads its rows twice, but the look back behind them is run once."""
+
+    class Seen(Exception):
+        pass
+
+    def split(rows, *_, **__):
+        raise Seen(rows._jdf.queryExecution().executedPlan().toString())
+
+    monkeypatch.setattr(training.sampling, "stratified", split)
+    rows = sensor_queries.train_features(spark, sf_dir, ARM_ROBOT)
+    assert "Window" in rows._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(Seen) as plan:
+        training.train_family(rows, ARM_ROBOT, ["event_id"], {}, folds=2)
+    assert "Window" not in str(plan.value) and "parquet" in str(plan.value)
+
+
 def test_weights(spark):
     df = spark.createDataFrame([(1,), (0,), (0,), (0,)], "failure int")
     rows = training.with_weights(df).orderBy(F.desc("failure")).collect()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -197,3 +198,12 @@ def test_forest_writes_no_row_per_tree(rows, monkeypatch, group, cell_bytes):
         got = sorted(map(tuple, model.nodes.collect()))
         assert [r[:5] for r in got] == [r[:5] for r in want]
         assert np.allclose([r[5:] for r in got], [r[5:] for r in want])
+
+
+@pytest.mark.parametrize("kind", [np.uint8, np.float64])
+def test_rows_are_packed_to_bytes_and_back(kind):
+    values = np.arange(60).reshape(12, 5).astype(kind)
+    held = boosting.packed(values.T.copy().T)  # columns first in memory
+    assert held.equals(pa.array([x.tobytes() for x in values], pa.binary()))
+    assert boosting.unpacked(held.slice(3, 4)).tobytes() == values[3:7].tobytes()
+    assert not len(boosting.packed(values[:0])) and not len(boosting.unpacked(held[:0]))
