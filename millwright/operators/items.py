@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.numeric import exact_text
 from ..schemas import SERVICE_RECORD
-from ..session import written
+from ..session import PACKED, shuffles_removed, written
 
 NUMBER = "exact_number"  # the field that marks an exact number: its text
 
@@ -52,15 +52,17 @@ def last_record_per_key(records: DataFrame, key: str, *order: str) -> DataFrame:
     """A later put replaces an earlier one of the same key, so only the last text is kept.
 
     Runs on raw texts, before the costly parse; readable texts only. Texts are made once and neither sorted, compared
-    nor, while few of them are replaced, shuffled: keys are counted, and only those that occur again are ranked.
+    nor, while few of them are replaced, shuffled: keys are counted, and only those that occur again are ranked. These are
+    written, so that Spark knows how few they are before it plans the join; the other rows then stay where they are.
     """
     found = records.withColumn("_key", F.get_json_object("raw", f"$.{key}"))
     known = [F.col(c).isNotNull() for c in ("_key", *order)]
-    keyed = written(found.where(reduce(Column.__and__, known)).select("_key", *order, "raw"), "keyed")
-    narrow = keyed.select("_key", *order)
-    again = narrow.groupBy("_key").count().where(F.col("count") > 1).select("_key")
-    repeats = narrow.join(again, "_key", "left_semi")
-    last = repeats.groupBy("_key").agg(F.max(F.struct(*order)).alias("_last"))
-    replaced = repeats.join(last, "_key").where(F.struct(*order) != F.col("_last")).select("_key", *order)
-    kept = keyed.join(written(replaced, "replaced"), ["_key", *order], "left_anti")
+    with shuffles_removed(records.sparkSession):
+        keyed = written(found.where(reduce(Column.__and__, known)).select("_key", *order, "raw"), "keyed", **PACKED)
+        narrow = keyed.select("_key", *order)
+        again = written(narrow.groupBy("_key").count().where(F.col("count") > 1).select("_key"), "again")
+        repeats = narrow.join(again, "_key", "left_semi")
+        last = repeats.groupBy("_key").agg(F.max(F.struct(*order)).alias("_last"))
+        replaced = written(repeats.join(last, "_key").where(F.struct(*order) != F.col("_last")).select("_key", *order), "replaced")
+    kept = keyed.join(replaced, ["_key", *order], "left_anti")
     return kept.select(F.col("_key").alias(key), "raw")
