@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import flatten
 from ..schemas import FAMILIES, STAR_TABLES
-from ..session import scratch_dir
+from ..session import PACKED, scratch_dir, shuffles_removed
 from ..sources import shapes
 from ..sources.files import run_day
 from ..sources.streams import table_stream
@@ -122,7 +122,8 @@ def star_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = _places(spark, "st-records")
     landed = f"{out}/landed"
     raw = shapes.service_records(spark, sf_dir)
-    raw.write.parquet(landed)
+    with shuffles_removed(spark):
+        raw.write.options(**PACKED).parquet(landed)
     stream = spark.readStream.schema(raw.schema).parquet(landed)
     flows.record_stream(stream, out, checkpoint)
     parts = [
